@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import leakage, repeated_lines, truncation, visual_form
+from . import leakage, packing, repeated_lines, splitting, text_quality, truncation, visual_form
 
 
 def _line_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -39,6 +39,32 @@ def p2_classes(spark: SparkSession, d: str) -> DataFrame:
     return classes.select("doc_id", "field", F.hex("class_id").alias("class_id"), F.hex("text_id").alias("text_id"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return text_quality.not_prose(table(spark, d, "section_record"))
+
+
+def p4_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """The statistics the problem names, and the kind, of every record."""
+    rows = text_quality.quality_kinds(table(spark, d, "section_record"))
+    return rows.select("doc_id", "n_words", "mean_word_len", "symbol_share", "line_end_share", "common_share", "kind")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.oversized_items(table(spark, d, "section_record"), table(spark, d, "split_profile"))
+
+
+def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.oversized_pieces(table(spark, d, "section_record"), table(spark, d, "split_profile"))
+
+
+def p6_containers(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill_containers(packing.token_sizes(table(spark, d, "documents")), table(spark, d, "pack_profile"))
+
+
+def p6_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.container_fill(p6_containers(spark, d), table(spark, d, "pack_profile"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_item"))
 

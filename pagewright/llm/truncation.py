@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textform import composed, visual_form
+from ..session import cut
+from .textform import visual_form
 
 _END = re.compile(r"(?:[。.!?;；…]|。)[\s\"'”’」』》)\]>]*$")
 _CLOSED = re.compile(r"[”\"」』》)\]】]$")
@@ -170,7 +171,7 @@ def truncated_texts(
     Null and empty texts and rows without id are no texts; a null source has no limit of its own but its texts are still judged by their
     ends; an empty table gives an empty result; ties in length are all at the limit.
     """
-    tails = text_tails(df, text_col, id_col, source_col)
+    tails = cut(text_tails(df, text_col, id_col, source_col))  # narrow rows, read once for each statistic
     limits = length_limits(tails)
     chars = limits.where("unit = 'chars'").select("source", F.col("low").alias("_cl"))
     octets = limits.where("unit = 'bytes'").select("source", F.col("low").alias("_bl"))

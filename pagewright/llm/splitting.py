@@ -74,13 +74,17 @@ def split_text(text: str, max_size: int, overlap: int = 0, unit: str = "chars")
                 kinds[m.end()] = kind
     kinds = {p: k for p, k in kinds.items() if not _joined(text, p)}
     kinds[n] = "end"
-    # Where natural boundaries lie further apart than half of what a piece can add, every character is a candidate.
-    reach = max(1, (max_size - overlap) // 2)
+    # Where natural boundaries lie further apart than half of what a piece can add, characters a 64th of it apart are candidates too, so the
+    # work stays in proportion to the text.
+    reach, stride = max(1, (max_size - overlap) // 2), max(1, (max_size - overlap) // 64)
     before = 0
     for p in sorted(kinds):
         if at[p] - at[before] > reach:
-            for i in range(before + 1, p):
-                if i not in kinds and not _joined(text, i):
+            i = before
+            while (i := max(i + 1, bisect_left(at, at[i] + stride))) < p:
+                while i < p and _joined(text, i):
+                    i += 1
+                if i < p:
                     kinds[i] = "character"
         before = p
     ends = sorted(kinds)

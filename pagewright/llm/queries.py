@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import leakage, packing, repeated_lines, splitting, text_quality, truncation, visual_form
+from . import leakage, packing, page_repair, repeated_lines, splitting, text_quality, truncation, visual_form
 
 
 def _line_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -39,6 +39,10 @@ def p2_classes(spark: SparkSession, d: str) -> DataFrame:
     return classes.select("doc_id", "field", F.hex("class_id").alias("class_id"), F.hex("text_id").alias("text_id"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return page_repair.noisy_words(table(spark, d, "word"), table(spark, d, "page_geom"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return text_quality.not_prose(table(spark, d, "section_record"))
 

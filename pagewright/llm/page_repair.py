@@ -115,22 +115,21 @@ class Reader:
 
     def __init__(self, fixes: dict[str, str], kept: frozenset[str], usual: dict[str, int]):
         self.fixes, self.kept, self.usual = fixes, kept, usual
-        #: What is left of usual words after a beginning that is a usual word itself: only such a rest shows that the word was broken.
+        #: Beginnings of usual words and what is left of them: only such a rest shows that a word was broken there.
         self.rests: dict[str, set[str]] = {}
         for w, n in usual.items():
-            for i in range(2, len(w)):
-                if w[:i] in usual and usual.get(w[i:], 0) * 5 <= n:
+            for i in range(1, len(w)):
+                if w[:i] not in usual or usual.get(w[i:], 0) <= 2 * n:
                     self.rests.setdefault(w[:i], set()).add(w[i:])
         self.tails = frozenset(t for r in self.rests.values() for t in r)
 
     def kind(self, text: str) -> tuple[str, str] | None:
-        """Kind and evidence: ``hyphen``, ``misread``, ``maybe`` (broken if its rest follows) or ``tail`` (such a rest), with the letters."""
+        """Kind and evidence: ``misread``, ``broken`` (ends in a mark, with its letters) or ``tail`` (letters that may be a rest)."""
         m = _BROKEN.search(text)
-        if m and re.search(f"[{_LETTER}]$", m.group(1)):
-            part = m.group(1).casefold()
-            if part in self.kept:
-                return None
-            return ("maybe", part) if part in self.usual else ("hyphen", part)
+        if m and _HAS_LATIN.match(m.group(1)[-1]):
+            part = self.fixes.get(m.group(1), m.group(1)).casefold()
+            if part not in self.kept and part in self.rests:
+                return "broken", part
         if self.repaired(text) != text:
             return "misread", ""
         m = _TOKEN.match(text)
@@ -160,14 +159,14 @@ class Reader:
         return out
 
 
-def reader_tables(words: DataFrame, most: int = 2_000_000, **options: int) -> Reader:
+def reader_tables(words: DataFrame, most: int = 2_000_000, usual_least: int = 5, **options: int) -> Reader:
     """The tables for ``Reader``. Their size is that of a vocabulary; beyond ``most`` entries they are refused rather than broadcast."""
     counts = cut(word_counts(words))
     fixes = corrections(counts, **options).select("gram", "best").limit(most + 1).collect()
     # First parts of compounds that keep their hyphen, where the compound is as usual as words are.
     first = counts.where(F.col("gram").contains("-") & (F.col("n") >= 3)).select(F.lower(F.regexp_extract("gram", "^[^-]+", 0)).alias("p"))
     kept = first.distinct().limit(most + 1).collect()
-    usual = counts.where((F.col("n") >= options.get("least", 20)) & F.col("gram").rlike("^[A-Za-z]{2,}$")).groupBy(F.lower("gram").alias("w")).agg(F.sum("n").alias("n")).limit(most + 1).collect()
+    usual = counts.where((F.col("n") >= usual_least) & F.col("gram").rlike(f"^[{_LETTER}]{{2,}}$")).groupBy(F.lower("gram").alias("w")).agg(F.sum("n").alias("n")).limit(most + 1).collect()
     if max(len(fixes), len(kept), len(usual)) > most:
         raise ValueError("the vocabulary is larger than the bound for a broadcast")
     return Reader({r[0]: r[1] for r in fixes}, frozenset(r[0] for r in kept), {r[0]: r[1] for r in usual})
@@ -318,12 +317,12 @@ def noisy_words(words: DataFrame, geometry: DataFrame | None = None, **options:
     judged = cut(texts.mapInArrow(judge, "doc_id long, page_no int, word_no int, top double, kind string, part string"))
     pairs = sorted((p, r) for p, rests in reader.rests.items() for r in rests)
     rests = words.sparkSession.createDataFrame(pairs, "part string, rest string")
-    # A part that is a word itself was broken if what is left of a usual word comes on one of the next lines or the next page.
-    maybe = judged.where("kind = 'maybe'").join(rests, "part").select("doc_id", "page_no", "word_no", "top", "rest")
+    # A part is one of a broken word if what is left of a usual word stands on its page or the next.
+    maybe = judged.where("kind = 'broken'").join(rests, "part").select("doc_id", "page_no", "word_no", "top", "rest")
     tails = judged.where("kind = 'tail'").select("doc_id", F.col("page_no").alias("_page"), F.col("top").alias("_top"), F.col("part").alias("rest"))
-    after = ((F.col("_page") == F.col("page_no")) & (F.col("_top") - F.col("top")).between(3, 60)) | (F.col("_page") == F.col("page_no") + 1)
+    after = ((F.col("_page") == F.col("page_no")) & (F.abs(F.col("_top") - F.col("top")) > 3)) | (F.col("_page") == F.col("page_no") + 1)
     broken = maybe.join(tails, ["doc_id", "rest"]).where(after).select("doc_id", "page_no", "word_no", F.lit("hyphen").alias("kind"))
-    body = judged.where("kind in ('hyphen', 'misread')").select("doc_id", "page_no", "word_no", "kind").unionByName(broken)
+    body = judged.where("kind = 'misread'").select("doc_id", "page_no", "word_no", "kind").unionByName(broken)
     edge = furniture_words(words, geometry).withColumn("kind", F.lit("furniture"))
     # "furniture" < "hyphen" < "misread" in this order too.
     return edge.unionByName(body).groupBy("doc_id", "page_no", "word_no").agg(F.min("kind").alias("kind"))

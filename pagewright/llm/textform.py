@@ -12,7 +12,8 @@ import unicodedata
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import SparkSession
+
+from ..functions.script import simplified_script  # noqa: F401  (used by the operators)
 
 # The code points with the Unicode property Default_Ignorable_Code_Point.
 DEFAULT_IGNORABLE = (
@@ -90,23 +91,3 @@ def per_distinct(column: pa.ChunkedArray | pa.Array, function, kind: pa.DataType
     coded = pc.dictionary_encode(coded)
     values = pa.array([function(v) for v in coded.dictionary.to_pylist()], kind)
     return values.take(coded.indices)
-
-
-_SCRIPT: dict[str, dict[int, str]] = {}
-
-
-def simplified_script(spark: SparkSession) -> dict[int, str]:
-    """Code point → simplified character, from the transliteration rules of the ICU library that Spark itself ships.
-
-    A few thousand entries at most (the ideographs of the basic block), whatever the data. Empty where the session gives no access to
-    its JVM; texts in the two scripts then stay different.
-    """
-    if "t2s" not in _SCRIPT:
-        try:
-            rules = spark._jvm.com.ibm.icu.text.Transliterator.getInstance("Traditional-Simplified")
-        except Exception:
-            return {}
-        block = [chr(c) for c in range(0x3400, 0xA000)]
-        other = rules.transliterate("\n".join(block)).split("\n")
-        _SCRIPT["t2s"] = {ord(a): b for a, b in zip(block, other, strict=True) if a != b and len(b) == 1}
-    return _SCRIPT["t2s"]

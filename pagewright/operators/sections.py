@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from ..functions import patterns as P
 from ..functions import text as X
+from ..session import cut
 
 CHAIR_LIMIT = 45
 
@@ -154,11 +155,12 @@ def section_ranges(page_text: DataFrame) -> DataFrame:
     A section that isn't found is null throughout. Where the second would begin before the first ends it is searched again after that.
     Reports without text, repeated rows, null pages and an empty table give the defined results of ``page_lines``.
     """
-    facts = line_facts(page_lines(page_text)).persist()
-    contents = contents_pages(facts).persist()
+    # Lines are read by every search and each search result by the next: both are written once.
+    facts = cut(line_facts(page_lines(page_text)))
+    contents = cut(contents_pages(facts))
     counts = page_counts(page_text)
-    hits = section_starts(facts, contents).persist()
-    chair = section_ends(facts, contents, counts, _first_hit(hits, "chair", P.CHAIR_TERMS, F.col("page_no") <= CHAIR_LIMIT))
+    hits = cut(section_starts(facts, contents))
+    chair = cut(section_ends(facts, contents, counts, cut(_first_hit(hits, "chair", P.CHAIR_TERMS, F.col("page_no") <= CHAIR_LIMIT))))
     bound = chair.select("doc_id", F.col("end").alias("chair_end"))
 
     def either(rows: DataFrame, tag: str) -> DataFrame:
@@ -171,7 +173,7 @@ def section_ranges(page_text: DataFrame) -> DataFrame:
     both = first.join(bound, "doc_id", "left").join(again, "doc_id", "left")
     overlaps = F.col("chair_end").isNotNull() & (F.col("a.page") < F.col("chair_end"))
     mda = both.select("doc_id", F.when(overlaps, F.col("b")).otherwise(F.col("a")).alias("h")).where("h is not null").select("doc_id", "h.page", "h.term", "h.num")
-    mda = section_ends(facts, contents, counts, mda)
+    mda = section_ends(facts, contents, counts, cut(mda))
 
     def named(df: DataFrame, tag: str) -> DataFrame:
         return df.select("doc_id", *[F.col(c).alias(f"{tag}_{n}") for c, n in (("page", "start"), ("end", "end"), ("term", "term"), ("num", "num"))])

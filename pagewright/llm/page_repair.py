@@ -21,6 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import patterns as P
+from ..operators.layout import clean_words, column_cuts
+from ..operators.reflow import paragraph_starts
 from ..session import cut
 from .textform import composed, simplified_script
 
@@ -238,7 +241,7 @@ def furniture_words(words: DataFrame, geometry: DataFrame | None = None, share:
     """``doc_id, page_no, word_no`` of the words of running titles, running company names and page numbers.
 
     A key recurs if it stands at the edge of two pages of a report, or of ``share`` of all pages with edge lines (``min_pages`` at least). On
-    a report's first page only keys are furniture that hardly ever open a report: others are headings.
+    a report's first page only keys are furniture that hold the company's name or hardly ever open a report: others are headings.
     """
     lines = cut(edge_lines(words, geometry))
     lettered = lines.where(F.length("key") >= 2)
@@ -246,7 +249,7 @@ def furniture_words(words: DataFrame, geometry: DataFrame | None = None, share:
     usage = lettered.groupBy("key").agg(F.count_distinct("doc_id", "page_no").alias("n"), F.sum(F.col("first").cast("int")).alias("n_first"))
     # At most 1 / share keys for each line of a page: a small table whatever the corpus.
     common = usage.crossJoin(F.broadcast(pages)).where((F.col("n") >= min_pages) & (F.col("n") >= F.col("n_pages") * share))  # one row
-    common = common.select("key", (F.col("n_first") > F.col("n") * first_share).alias("opens"))
+    common = common.select("key", ((F.col("n_first") > F.col("n") * first_share) & ~F.col("key").contains("@")).alias("opens"))
     own = (
         lettered.where(~F.col("first") & (F.length("key") <= 40)).groupBy("doc_id", "key").agg(F.count_distinct("page_no").alias("n")).where("n >= 2").select("doc_id", "key")
     )
@@ -326,3 +329,73 @@ def noisy_words(words: DataFrame, geometry: DataFrame | None = None, **options:
     edge = furniture_words(words, geometry).withColumn("kind", F.lit("furniture"))
     # "furniture" < "hyphen" < "misread" in this order too.
     return edge.unionByName(body).groupBy("doc_id", "page_no", "word_no").agg(F.min("kind").alias("kind"))
+
+
+_GLUE = "\x1f"  # stands at the end of a line whose last word goes on
+
+
+def _spaced(before: Column, after: Column) -> Column:
+    """What stands between two pieces of text: a space unless one side is an ideograph or its punctuation, nothing after a broken word."""
+    cjk = "[⺀-鿿豈-﫿＀-￯]"
+    bare = before.isNull() | before.endswith(_GLUE) | before.rlike(f"{cjk}$") | after.rlike(f"^{cjk}")
+    return F.when(bare, F.lit("")).otherwise(F.lit(" "))
+
+
+def repaired_words(words: DataFrame, geometry: DataFrame | None = None, **options: int) -> DataFrame:
+    """The distinct words of the body with ``doc_id, page_no, word_no, text, x0, x1, top, bottom``: running titles and page numbers are gone,
+    misread characters put right, and broken words end in a joining mark in place of the hyphen."""
+    noise = noisy_words(words, geometry, **options)
+    body = clean_words(words).join(noise, ["doc_id", "page_no", "word_no"], "left").where(~F.col("kind").eqNullSafe("furniture"))
+    sent = words.sparkSession.sparkContext.broadcast(reader_tables(words, **options))
+
+    def repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = sent.value
+        for b in batches:
+            texts = []
+            for t, kind in zip(b.column("text").to_pylist(), b.column("kind").to_pylist(), strict=True):
+                if kind is not None:
+                    t = reader.repaired(t[:-1]) + _GLUE if kind == "hyphen" else reader.repaired(t)
+                texts.append(t)
+            at = b.schema.get_field_index("text")
+            yield b.set_column(at, "text", pa.array(texts, pa.string())).drop_columns(["kind"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in body.schema if f.name != "kind")
+    return body.mapInArrow(repair, schema)
+
+
+def body_paragraphs(words: DataFrame, geometry: DataFrame, **options: int) -> DataFrame:
+    """``doc_id, para_no, page_no, lvl, t``: each report's body as continuous paragraphs and headings, in reading order.
+
+    Lines follow the baselines (which may waver), columns are read one after the other, and paragraphs that a column or page end cuts are
+    joined. ``page_no`` is the page a paragraph begins on.
+    """
+    w = repaired_words(words, geometry, **options)
+    cuts = column_cuts(w, geometry).select("doc_id", "page_no", "cut")
+    w = w.join(cuts, ["doc_id", "page_no"], "left").withColumn("col_no", F.when(F.col("x0") >= F.col("cut"), 1).otherwise(0))
+    down = Window.partitionBy("doc_id", "page_no", "col_no").orderBy("top", "x0", "word_no")
+    w = w.withColumn("line", F.sum(F.coalesce((F.col("top") - F.lag("top").over(down) > 4).cast("int"), F.lit(0))).over(down))
+    along = Window.partitionBy("doc_id", "page_no", "col_no", "line").orderBy("x0", "word_no")
+    piece = F.concat(_spaced(F.lag("text").over(along), F.col("text")), F.col("text"))
+    w = w.withColumn("piece", piece)
+    lines = w.groupBy("doc_id", "page_no", "col_no", "line").agg(F.min("top").alias("top"), F.sort_array(F.collect_list(F.struct("x0", "word_no", "piece"))).alias("_w"))
+    lines = lines.select(
+        "doc_id", "page_no", "col_no", F.bround(F.col("top") / 3).cast("int").alias("k"), F.array_join(F.col("_w.piece"), "").alias("t"), F.element_at("_w", 1)["x0"].alias("x0")
+    )
+    starts = paragraph_starts(lines)
+    block = Window.partitionBy("doc_id", "page_no", "col_no", "para_no").orderBy("k")
+    # Lines of Chinese text are set without regard to words and figures, so nothing stands between them.
+    before, han = F.lag("t").over(block), f"[{P.HAN}]"
+    between = F.when(before.rlike(han) | F.col("t").rlike(han), F.lit("")).otherwise(_spaced(before, F.col("t")))
+    starts = starts.withColumn("piece", F.concat(between, F.col("t")))
+    paras = starts.groupBy("doc_id", "page_no", "col_no", "para_no").agg(F.max("lvl").alias("lvl"), F.sort_array(F.collect_list(F.struct("k", "piece"))).alias("_l"))
+    paras = paras.select("doc_id", "page_no", "col_no", "para_no", "lvl", F.array_join(F.col("_l.piece"), "").alias("t"))
+    order = Window.partitionBy("doc_id").orderBy("page_no", "col_no", "para_no")
+    last = F.lag("t").over(order)
+    other = (F.lag("page_no").over(order) != F.col("page_no")) | (F.lag("col_no").over(order) != F.col("col_no"))
+    ended = last.rlike(P.SENTENCE_END) | last.rlike(r"[.!?]$")
+    goes_on = (F.col("lvl") == 0) & (F.lag("lvl").over(order) == 0) & other & ~ended & ~F.col("t").rlike(P.HEAD_START)
+    paras = paras.withColumn("_new", (~F.coalesce(goes_on, F.lit(False))).cast("int")).withColumn("_pos", F.row_number().over(order))
+    paras = paras.withColumn("piece", F.when(F.col("_new") == 1, F.col("t")).otherwise(F.concat(_spaced(last, F.col("t")), F.col("t"))))
+    paras = paras.withColumn("no", F.sum("_new").over(Window.partitionBy("doc_id").orderBy("_pos")).cast("int"))
+    merged = paras.groupBy("doc_id", F.col("no").alias("para_no")).agg(F.min("page_no").alias("page_no"), F.max("lvl").alias("lvl"), F.sort_array(F.collect_list(F.struct("_pos", "piece"))).alias("_p"))
+    return merged.select("doc_id", "para_no", "page_no", "lvl", F.regexp_replace(F.array_join(F.col("_p.piece"), ""), _GLUE, "").alias("t"))

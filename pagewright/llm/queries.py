@@ -43,6 +43,10 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return page_repair.noisy_words(table(spark, d, "word"), table(spark, d, "page_geom"))
 
 
+def p3_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return page_repair.body_paragraphs(table(spark, d, "word"), table(spark, d, "page_geom"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return text_quality.not_prose(table(spark, d, "section_record"))
 

@@ -4,4 +4,9 @@ from __future__ import annotations
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    size = "CASE unit WHEN 'bytes' THEN strlen(t) ELSE length(t) END"
+    return {
+        "p5_found": f"""SELECT DISTINCT profile, doc_id FROM (
+            SELECT doc_id, 'ctext' AS field, ctext AS t FROM section_record UNION ALL SELECT doc_id, 'mtext', mtext FROM section_record)
+            JOIN split_profile USING (field) WHERE {size} > max_size""",
+    }

@@ -40,13 +40,8 @@ def gaps(lines: DataFrame) -> DataFrame:
     return one.select(*_BLOCK, med.alias("med")).withColumn("thr", F.greatest(F.col("med") + 3.0, F.col("med") * 1.5, F.lit(4.0)))
 
 
-def paragraphs(lines: DataFrame, drop_english: bool = True) -> DataFrame:
-    """``doc_id, page_no, col_no, para_no, lvl, t``: paragraphs of each block (``lvl`` 0), and its headings (1 or 2).
-
-    A line opens a paragraph if it is indented by 12 points, follows a wide gap, or is or follows a heading. Paragraphs that turn out English
-    or garbled once joined are dropped, as are runs of four single characters.
-    """
-    body = body_lines(lines, drop_english)
+def paragraph_starts(body: DataFrame) -> DataFrame:
+    """The lines of blocks (``k, t, x0``) with ``lvl`` and the number of their paragraph."""
     order = Window.partitionBy(*_BLOCK).orderBy("k")
     body = body.withColumn("lvl", X.heading_level(F.col("t")))
     # Margin and gaps by windows over the block: everything here shares one partitioning.
@@ -62,6 +57,16 @@ def paragraphs(lines: DataFrame, drop_english: bool = True) -> DataFrame:
     start = head | F.lag(head).over(order) | (F.col("x0") - F.col("margin") >= INDENT) | (F.col("gap") >= F.col("thr"))
     start = F.when(F.lag("k").over(order).isNull(), True).otherwise(F.coalesce(start, F.lit(False)))
     body = body.withColumn("_start", start.cast("int")).withColumn("para_no", F.sum("_start").over(order))
+    return body.select(*_BLOCK, "k", "t", "x0", "lvl", "para_no")
+
+
+def paragraphs(lines: DataFrame, drop_english: bool = True) -> DataFrame:
+    """``doc_id, page_no, col_no, para_no, lvl, t``: paragraphs of each block (``lvl`` 0), and its headings (1 or 2).
+
+    A line opens a paragraph if it is indented by 12 points, follows a wide gap, or is or follows a heading. Paragraphs that turn out English
+    or garbled once joined are dropped, as are runs of four single characters.
+    """
+    body = paragraph_starts(body_lines(lines, drop_english))
     paras = body.groupBy(*_BLOCK, "para_no").agg(F.max("lvl").alias("lvl"), F.sort_array(F.collect_list(F.struct("k", "t"))).alias("_l"))
     paras = paras.select(*_BLOCK, "para_no", "lvl", F.array_join(F.col("_l.t"), "").alias("t"))
     if not drop_english:

@@ -39,29 +39,30 @@ def accepted_tables(tables: DataFrame, geometry: DataFrame) -> DataFrame:
     return t.withColumn("accepted", ok).drop("_cells", "width", "height")
 
 
-def table_markdown(rows: Column, drop_english: bool = True) -> Column:
-    """A table as Markdown, or null if nothing is left of it: rows in English only, blank rows and blank columns are dropped."""
-    full = F.transform(rows, lambda r: F.transform(F.coalesce(r, F.array().cast("array<string>")), lambda c: F.coalesce(c, F.lit(""))))
-    if drop_english:
-        full = F.filter(full, lambda r: ~((X.strip(F.array_join(r, " ")) != "") & X.is_english(X.strip(F.array_join(r, " ")))))
-    full = F.filter(full, lambda r: F.exists(r, lambda c: X.strip(c) != ""))
-    n = _width(full)
-    padded = F.transform(full, lambda r: F.concat(r, F.array_repeat(F.lit(""), n - F.size(r))))
-    kept = F.filter(F.sequence(F.lit(1), n), lambda i: F.exists(padded, lambda r: X.strip(F.element_at(r, i)) != ""))
+def with_markdown(tables: DataFrame, drop_english: bool = True) -> DataFrame:
+    """The tables with ``md``, their Markdown, or null if nothing is left: rows in English only, blank rows and blank columns are dropped.
 
-    def cell(c: Column) -> Column:
-        return X.strip(F.translate(c, "\n|", " ／"))
-
-    lines = F.transform(padded, lambda r: F.concat(F.lit("| "), F.array_join(F.transform(kept, lambda i: cell(F.element_at(r, i))), " | "), F.lit(" |")))
-    rule = F.concat(F.lit("| "), F.array_join(F.transform(kept, lambda i: F.lit("---")), " | "), F.lit(" |"))
-    md = F.array_join(F.concat(F.slice(lines, F.lit(1), F.lit(1)), F.array(rule), F.slice(lines, F.lit(2), F.greatest(F.lit(1), F.size(lines)))), "\n")
-    return F.when(F.size(full) > 0, md)
+    Each step is a column of its own, used by the next ones: inlined into lambdas the steps would be worked out again for every cell.
+    """
+    none = F.array().cast("array<string>")
+    t = tables.withColumn("_full", F.transform("rows", lambda r: F.transform(F.coalesce(r, none), lambda c: F.coalesce(c, F.lit("")))))
+    t = t.withColumn("_row", F.transform("_full", lambda r: X.strip(F.array_join(r, " "))))
+    keep = F.transform("_row", lambda s: (s != "") & (~X.is_english(s) if drop_english else F.lit(True)))
+    t = t.withColumn("_keep", keep)
+    t = t.withColumn("_full", F.filter("_full", lambda r, i: F.element_at(F.col("_keep"), i + 1)))
+    t = t.withColumn("_n", _width(F.col("_full")))
+    t = t.withColumn("_full", F.transform("_full", lambda r: F.transform(F.concat(r, F.array_repeat(F.lit(""), F.col("_n") - F.size(r))), lambda c: X.strip(F.translate(c, "\n|", " ／")))))
+    t = t.withColumn("_cols", F.when(F.col("_n") > 0, F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("_n"))), lambda i: F.exists("_full", lambda r: F.element_at(r, i) != ""))))
+    t = t.withColumn("_lines", F.transform("_full", lambda r: F.concat(F.lit("| "), F.array_join(F.transform("_cols", lambda i: F.element_at(r, i)), " | "), F.lit(" |"))))
+    rule = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), F.size("_cols")), " | "), F.lit(" |"))
+    md = F.array_join(F.concat(F.slice("_lines", F.lit(1), F.lit(1)), F.array(rule), F.slice("_lines", F.lit(2), F.greatest(F.lit(1), F.size("_lines")))), "\n")
+    return t.withColumn("md", F.when(F.size("_full") > 0, md)).drop("_full", "_row", "_keep", "_n", "_cols", "_lines")
 
 
 def rendered_tables(tables: DataFrame, geometry: DataFrame, drop_english: bool = True) -> DataFrame:
     """``doc_id, page_no, table_no, x0, top, x1, bottom, md`` of the accepted tables of which something is left."""
     ok = accepted_tables(tables, geometry).where("accepted")
-    return ok.select("doc_id", "page_no", "table_no", "x0", "top", "x1", "bottom", table_markdown(F.col("rows"), drop_english).alias("md")).where("md is not null")
+    return with_markdown(ok, drop_english).select("doc_id", "page_no", "table_no", "x0", "top", "x1", "bottom", "md").where("md is not null")
 
 
 def words_outside(words: DataFrame, rendered: DataFrame) -> DataFrame:

@@ -50,8 +50,10 @@ def paragraph_starts(body: DataFrame) -> DataFrame:
     body = body.withColumn("x", F.bround("x0").cast("int"))
     body = body.withColumn("_n", F.count(F.lit(1)).over(seen)).withColumn("_k", F.min("k").over(seen))
     body = body.withColumn("margin", F.max_by("x", F.struct("_n", -F.col("_k"))).over(block))
-    body = body.withColumn("gap", F.col("k") - F.lag("k").over(order)).withColumn("_s", F.array_sort(F.collect_list("gap").over(block)))
-    med = F.when(F.size("_s") > 0, F.element_at("_s", (F.floor(F.size("_s") / 2) + 1).cast("int"))).otherwise(1)
+    body = body.withColumn("gap", F.col("k") - F.lag("k").over(order))
+    # The upper median by rank, so no line carries its block's gaps.
+    body = body.withColumn("_r", F.row_number().over(block.orderBy(F.asc_nulls_last("gap")))).withColumn("_m", F.floor(F.count("gap").over(block) / 2) + 1)
+    med = F.coalesce(F.max(F.when(F.col("_r") == F.col("_m"), F.col("gap"))).over(block), F.lit(1))
     body = body.withColumn("thr", F.greatest(med + 3.0, med * 1.5, F.lit(4.0)))
     head = F.col("lvl") > 0
     start = head | F.lag(head).over(order) | (F.col("x0") - F.col("margin") >= INDENT) | (F.col("gap") >= F.col("thr"))

@@ -287,14 +287,14 @@ def furniture_words(words: DataFrame, geometry: DataFrame | None = None, share:
     return members.distinct()
 
 
-def noisy_words(words: DataFrame, geometry: DataFrame | None = None, **options: int) -> DataFrame:
+def noisy_words(words: DataFrame, geometry: DataFrame | None = None, reader: Reader | None = None, **options: int) -> DataFrame:
     """``doc_id, page_no, word_no, kind`` (distinct, one kind a word): ``furniture`` before ``hyphen`` before ``misread``.
 
     Words without id, page, number or text are no cases; a word drawn twice is one; late and unordered pages don't matter; an empty table
     gives an empty result.
     """
     words = words.where(F.col("doc_id").isNotNull() & F.col("page_no").isNotNull() & F.col("word_no").isNotNull())
-    reader = reader_tables(words, **options)
+    reader = reader_tables(words, **options) if reader is None else reader
     sent = words.sparkSession.sparkContext.broadcast(reader)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,17 +336,18 @@ _GLUE = "\x1f"  # stands at the end of a line whose last word goes on
 
 def _spaced(before: Column, after: Column) -> Column:
     """What stands between two pieces of text: a space unless one side is an ideograph or its punctuation, nothing after a broken word."""
-    cjk = "[⺀-鿿豈-﫿＀-￯]"
-    bare = before.isNull() | before.endswith(_GLUE) | before.rlike(f"{cjk}$") | after.rlike(f"^{cjk}")
+    wide = 0x2E80  # ideographs and their punctuation begin here
+    bare = before.isNull() | before.endswith(_GLUE) | (F.ascii(F.right(before, F.lit(1))) >= wide) | (F.ascii(after) >= wide)
     return F.when(bare, F.lit("")).otherwise(F.lit(" "))
 
 
 def repaired_words(words: DataFrame, geometry: DataFrame | None = None, **options: int) -> DataFrame:
     """The distinct words of the body with ``doc_id, page_no, word_no, text, x0, x1, top, bottom``: running titles and page numbers are gone,
     misread characters put right, and broken words end in a joining mark in place of the hyphen."""
-    noise = noisy_words(words, geometry, **options)
+    reader = reader_tables(words, **options)
+    noise = noisy_words(words, geometry, reader)
     body = clean_words(words).join(noise, ["doc_id", "page_no", "word_no"], "left").where(~F.col("kind").eqNullSafe("furniture"))
-    sent = words.sparkSession.sparkContext.broadcast(reader_tables(words, **options))
+    sent = words.sparkSession.sparkContext.broadcast(reader)
 
     def repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = sent.value
@@ -369,7 +370,7 @@ def body_paragraphs(words: DataFrame, geometry: DataFrame, **options: int) -> Da
     Lines follow the baselines (which may waver), columns are read one after the other, and paragraphs that a column or page end cuts are
     joined. ``page_no`` is the page a paragraph begins on.
     """
-    w = repaired_words(words, geometry, **options)
+    w = cut(repaired_words(words, geometry, **options))  # read for the columns' cuts and for the lines
     cuts = column_cuts(w, geometry).select("doc_id", "page_no", "cut")
     w = w.join(cuts, ["doc_id", "page_no"], "left").withColumn("col_no", F.when(F.col("x0") >= F.col("cut"), 1).otherwise(0))
     down = Window.partitionBy("doc_id", "page_no", "col_no").orderBy("top", "x0", "word_no")

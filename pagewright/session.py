@@ -6,10 +6,12 @@ import atexit
 import os
 import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIRS: list[str] = []
+_SHIPPED: set[str] = set()
 
 
 def build_session(app: str = "pagewright", master: str = "local[8]", partitions: int = 8, **conf: str) -> SparkSession:
@@ -31,8 +33,22 @@ def build_session(app: str = "pagewright", master: str = "local[8]", partitions:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Gives the package to the executors' Python, once an application; without effect on results where they have it already."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    if root.is_dir():  # not when it was itself imported from an archive
+        place = tempfile.mkdtemp(prefix="pagewright-")  # on the driver, from where Spark hands it out
+        _OWN_DIRS.append(place)
+        sc.addPyFile(shutil.make_archive(f"{place}/pagewright", "zip", root.parent, root.name))
+    _SHIPPED.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the parquet tables of a data folder."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -147,7 +147,7 @@ def recurring_endings(df: DataFrame, text_col: str = "text", share: float = 0.00
     line = F.explode(F.split(F.col(text_col), "\n", -1)).alias("line")
     short = texts.select(line).where(F.length("line").between(4, 60)).select(F.rtrim(F.regexp_replace("line", r"[\s>]+$", "")).alias("line"))
     han = F.col("line").rlike("[一-鿿]")
-    short = short.where((F.length("line") <= F.when(han, 26).otherwise(60)) & ~F.col("line").rlike("[。.!?！？，,；;|\t]"))
+    short = short.where((F.length("line") <= F.when(han, 33).otherwise(60)) & ~F.col("line").rlike("[。.!?！？，,；;|\t]"))
     ending = F.lower(
         F.when(F.col("line").rlike(r"[一-鿿]\P{L}*$"), F.regexp_extract("line", r"(\p{L}{1,2})\P{L}*$", 1)).otherwise(
             F.regexp_extract("line", r"(\p{L}+)\P{L}*$", 1)
@@ -188,6 +188,11 @@ def truncated_texts(
         .select("source", "line_key")
     )
     rows = rows.join(recur, ["source", "line_key"], "left_anti")
+    # And those that recur over all sources, where each has few.
+    anywhere = tails.where("state <> 'done' and length(line_key) >= 4").groupBy("line_key").agg(F.approx_count_distinct("text_id", 0.02).alias("_c"))
+    total = tails.agg(F.count(F.lit(1)).alias("_n"))
+    usual = anywhere.crossJoin(F.broadcast(total)).where((F.col("_c") >= recur_texts) & (F.col("_c") >= F.col("_n") * endings.get("share", 0.001)))  # one row
+    rows = rows.join(usual.select("line_key"), "line_key", "left_anti")
     common = recurring_endings(df, text_col, **endings).withColumn("_known", F.lit(True))
     rows = rows.join(common, "ending", "left")
     known = F.coalesce("_known", F.lit(False))

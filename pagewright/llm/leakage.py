@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_right
+import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import ahocorasick
 import pyarrow as pa
@@ -20,23 +22,60 @@ from pyspark.sql import functions as F
 from .textform import composed, digest, simplified_script
 
 _NOT_WORD = re.compile(r"[\W_]+")
+_PLAIN = re.compile(r"[\x00-\u02ff\u3001-\u3029\u3030-\u3098\u309b-\u312f\u3190-\u9fff\uff01-\uff9d]*")
 _FOUND = "doc_id long not null, item_id long not null, doc_start int not null, doc_end int not null, item_start int not null, item_end int not null, whole boolean not null"
 _BUILT: dict[bytes, Scanner] = {}
 
 
+def clusters(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of the pieces of ``text`` that normalisation never joins: a character with the marks, joining vowels and invisible
+    characters after it."""
+    if _PLAIN.fullmatch(text):  # nothing here joins what precedes it
+        yield from ((i, i + 1) for i in range(len(text)))
+        return
+    start = 0
+    for i in range(1, len(text)):
+        form = composed(text[i])
+        if form and unicodedata.category(form[0])[0] not in "MC" and not "\u1100" <= form[0] <= "\u11ff":
+            yield start, i
+            start = i
+    if text:
+        yield start, len(text)
+
+
+#: Letters that a whole item may lack at either end.
+ENDS = 2
+
+
+@dataclass(frozen=True)
+class Item:
+    item_id: int
+    letters: str
+    start: list[int]
+    chars: int
+    seed: int
+    least: int
+    #: Letters that a passage of this item has at least, if it counts.
+    few: int
+
+
 class Scanner:
     """The automaton over some items, with what is needed to judge a chain of its hits."""
 
     def __init__(self, items: list[tuple[int, str, bool]], script: dict[int, str], seed: int, seed_latin: int, least: int, least_latin: int):
         self.script = script
-        self.items: list[tuple[int, int, list[int], int, int, str]] = []  # id, letters, place of each letter, characters, least, the letters
+        self.items: list[Item] = []
         places: dict[str, list[tuple[int, int]]] = {}
         for item_id, text, latin in items:
-            letters, place = self.letters_and_places(text)
+            letters, start, _ = self.letters_and_places(text)
             q = min(seed_latin if latin else seed, len(letters))
             if not q:
                 continue
-            self.items.append((item_id, len(letters), place, len(text), least_latin if latin else least, letters))
+            least_chars = least_latin if latin else least
+            # The fewest letters in a passage of the least length, or in the whole item.
+            bounds = [*start, len(text)]
+            few = min((bisect_left(bounds, (bounds[i - 1] + 1 if i else 0) + least_chars, i) - i for i in range(len(letters)) if len(text) - bounds[i] >= least_chars), default=len(letters))
+            self.items.append(Item(item_id, letters, start, len(text), q, least_chars, max(1, min(few, len(letters) - 2 * ENDS))))
             for p in range(len(letters) - q + 1):
                 places.setdefault(letters[p : p + q], []).append((len(self.items) - 1, p))
         self.automaton = ahocorasick.Automaton()
@@ -47,37 +86,36 @@ class Scanner:
         self.empty = not places
 
     def letters(self, text: str) -> str:
-        """Letters and digits only, folded, in one script. Marks that stand alone go with everything else that is no letter."""
-        out = _NOT_WORD.sub("", text)
-        if not out.isascii():
-            out = _NOT_WORD.sub("", composed(out))
-        out = out.casefold()
+        """Letters and digits only, composed, folded, in one script."""
+        out = _NOT_WORD.sub("", composed(text).casefold())
         return out.translate(self.script) if self.script and not out.isascii() else out
 
-    def letters_and_places(self, text: str) -> tuple[str, list[int]]:
-        """The letters with the place of each in ``text``; they are those of ``letters`` but for rare joining characters."""
-        out, place = [], []
-        for i, ch in enumerate(text):
-            for c in self.letters(ch):
+    def letters_and_places(self, text: str) -> tuple[str, list[int], list[int]]:
+        """The letters, with the start and end in ``text`` of what each comes from."""
+        out, start, end = [], [], []
+        for a, b in clusters(text):
+            for c in self.letters(text[a:b]):
                 out.append(c)
-                place.append(i)
-        return "".join(out), place
+                start.append(a)
+                end.append(b)
+        return "".join(out), start, end
 
     def chains(self, letters: str) -> list[tuple[int, int, int, int, int]]:
         """``(item, first and last letter in the document, first and last in the item)``; last is exclusive."""
-        by_item: dict[int, list[tuple[int, int, int]]] = {}
+        by_item: dict[int, list[tuple[int, int]]] = {}
         for end, (q, where) in self.automaton.iter(letters):
             for item, p in where:
-                by_item.setdefault(item, []).append((end - q + 1, p, q))
+                by_item.setdefault(item, []).append((end - q + 1, p))
         found = []
         for item, hits in by_item.items():
-            n, least = self.items[item][1], self.items[item][4]
-            # Three letters of an original at most stand between two kept ones on average; shorter runs can't reach the least length.
-            if len(hits) + 2 * hits[0][2] < min(n, least) // 3:
+            one = self.items[item]
+            q = one.seed
+            # A chain of h hits covers h (q + 3) + 2 q letters at most: hits lie up to q + 3 apart, and either end is carried on by less than q + 1.
+            if len(hits) * (q + 3) + 2 * q < one.few:
                 continue
             open_chains: dict[int, list[int]] = {}
             done = []
-            for d, p, q in hits:
+            for d, p in hits:
                 chain = None
                 for diagonal in (d - p, d - p - 1, d - p + 1, d - p - 2, d - p + 2):
                     c = open_chains.get(diagonal)
@@ -85,16 +123,15 @@ class Scanner:
                         chain = open_chains.pop(diagonal)
                         break
                 if chain is None:
-                    chain = [d, d, p, p, q]
+                    chain = [d, d, p, p]
                     done.append(chain)
                 chain[1], chain[3] = d, p
                 open_chains[d - p] = chain
-            found += [(item, *self.stretched(letters, item, c[0], c[1] + c[4], c[2], c[3] + c[4])) for c in done if c[3] - c[2] > c[4]]
+            found += [(item, *self.stretched(letters, one.letters, c[0], c[1] + q, c[2], c[3] + q)) for c in done if c[3] - c[2] + 3 * q >= one.few]
         return found
 
-    def stretched(self, letters: str, item: int, d0: int, d1: int, i0: int, i1: int) -> tuple[int, int, int, int]:
+    def stretched(self, letters: str, other: str, d0: int, d1: int, i0: int, i1: int) -> tuple[int, int, int, int]:
         """A chain carried on over one misread letter at either end while letters agree."""
-        other = self.items[item][5]
         k = 2
         while min(d0, i0) >= k and letters[d0 - k] == other[i0 - k]:
             k += 1
@@ -111,19 +148,27 @@ class Scanner:
         """``(item id, start and end in text, start and end in the item, whole)`` of each passage that is long enough."""
         if self.empty:
             return []
-        out, place = [], None
         letters = self.letters(text)
-        for item, d0, d1, i0, i1 in self.chains(letters):
-            item_id, n, at, length, least, _ = self.items[item]
-            # Marks between the passage and the next letter of the item belong to the passage as far as can be told.
-            start, end = (at[i0 - 1] + 1 if i0 else 0), (at[i1] if i1 < n else length)
-            whole = i0 <= 2 and i1 >= n - 2
-            if whole or end - start >= least:
-                if place is None:
-                    place = self.letters_and_places(text)[1]
-                    if len(place) != len(letters):  # joining characters: places in proportion
-                        place = [min(len(text) - 1, i * len(text) // max(1, len(letters))) for i in range(len(letters))]
-                out.append((item_id, place[d0], place[d1 - 1] + 1, at[i0], at[i1 - 1] + 1, whole))
+        found = self.judged(self.chains(letters))
+        if not found:
+            return []
+        own, start, end = self.letters_and_places(text)
+        if own != letters:  # places are those of the text taken piece by piece, so its letters decide
+            found = self.judged(self.chains(own))
+        return [(self.items[i].item_id, start[d0], end[d1 - 1], a, b, whole) for i, d0, d1, a, b, whole in found]
+
+    def judged(self, chains: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int, bool]]:
+        out = []
+        for i, d0, d1, i0, i1 in chains:
+            one = self.items[i]
+            n = len(one.letters)
+            # The marks around a passage, up to the next letters of the item, belong to it as far as can be told.
+            start, end = (one.start[i0 - 1] + 1 if i0 else 0), (one.start[i1] if i1 < n else one.chars)
+            # A whole item may lack letters misread at its ends, unless it is so short that they'd be much of it.
+            lost = ENDS if n >= 4 * one.seed else 0
+            whole = i0 <= lost and i1 >= n - lost
+            if whole or end - start >= one.least:
+                out.append((i, d0, d1, one.start[i0], one.start[i1 - 1] + 1, whole))
         return out
 
 

@@ -50,7 +50,7 @@ def test_cut_texts(spark):
     rows, want = corpus()
     rows += [(1000, None, "limit"), (1001, "", "limit"), rows[0], (None, "字", "x")]
     df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, source string, state string, n_chars int")
-    limits = {(r.source, r.unit): r.high for r in T.length_limits(T.text_tails(df)).collect()}
+    limits = {(r.source, r.unit): r.high for r in T.length_limits(T.text_ends(df).where("n is null")).collect()}
     assert limits[("limit", "chars")] == 150 and limits[("bytes", "bytes")] in (398, 399, 400) and not any(k[0] == "free" for k in limits)
     got = {r.doc_id for r in T.truncated_texts(df).collect()}
     assert len(got & want) >= 0.97 * len(want) and len(got - want) <= 2
@@ -58,6 +58,36 @@ def test_cut_texts(spark):
     assert shares["free"].n_cut <= 1 and 0 < shares["limit"].cut_share < 1
 
 
+def test_a_longer_text_hides_no_limit(spark):
+    rows, _ = corpus()
+    rows += [(2000 + i, "甲乙丙丁，" * n + "天。", "limit") for i, n in enumerate((300, 500))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    limits = {(r.source, r.unit): r.high for r in T.length_limits(T.text_ends(df).where("n is null")).collect()}
+    assert limits[("limit", "chars")] == 150 and not any(k[0] == "free" for k in limits)
+
+
+@pytest.mark.parametrize("n", [200, 1200, 5000])
+def test_last_lines_of_any_length(n):
+    """What a line begins with decides, however far from its end."""
+    long = "甲乙丙丁戊己，" * (n // 7)
+    assert T.tail_state(BODY + "\n1. " + long + "公司将")[0] == "done" and T.tail_state(BODY + "\n责任编辑：" + long + "公司将")[0] == "done"
+    assert T.tail_state(BODY + "\n" + long + "公司将")[0] == "clause" and T.tail_state(BODY + long + "公司将")[0] == "open"
+    assert T.tail_state(BODY + "\n" + "1," * n + "公司将 " + "2," * n + "7.")[0] in ("clause", "bare")
+
+
+def test_rows_and_numbers():
+    assert T._is_row("收入 1,2 3.4% -5") and T._is_row("a|b") and not T._is_row("1 2 3") and not T._is_row("收入 一 3.4 5")
+    assert T._number_dot("金额975.") and T._number_dot("1,2020.") and not T._number_dot("in 2018.") and not T._number_dot("end.")
+
+
+def test_long_titles_teach_their_endings():
+    from collections import Counter
+
+    counts: Counter[str] = Counter()
+    T.title_endings("甲" * 120 + "走势\n" + "乙" * 200 + "。\n短题情况\n", counts, {})
+    assert counts == {"走势": 1, "情况": 1}
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string, source string")
     assert T.truncated_texts(none).count() == 0 and T.truncation_by_source(none).count() == 0

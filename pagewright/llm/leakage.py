@@ -94,6 +94,8 @@ class Scanner:
         """The letters, with the start and end in ``text`` of what each comes from."""
         out, start, end = [], [], []
         for a, b in clusters(text):
+            while b > a + 1 and not composed(text[b - 1]):  # invisible characters at the end belong to no letter
+                b -= 1
             for c in self.letters(text[a:b]):
                 out.append(c)
                 start.append(a)

@@ -3,11 +3,16 @@
 * *Edge lines.* Lines in the top and bottom zone of pages are keyed by their letters (without figures, in one script, turned round if printed
   backwards, the company's name replaced). Keys that recur over the pages of a report or of the corpus are running titles, and so are lines
   one misread character away from them; figures in the form of page numbers are page numbers.
-* *Misread characters.* Words of the corpus (words of letters; windows of three characters where no words are marked) are counted. Each has an
-  anagram hash, the sum of its characters' hashes, so that replacing one character by another adds a constant. Rare words that hold a
-  character others are misread as are joined in SQL with frequent words at exactly that difference; corrections are ranked by frequency.
-* *Hyphens.* A word that ends in a mark at a line end is the first part of a broken word, unless the corpus knows the part as the beginning of
-  a compound that keeps its hyphen.
+* *Misread characters.* Words (of letters; windows of three characters where no words are marked; the shapes of figures) are counted. Each has
+  an anagram hash, the sum of its characters' hashes, so a confusion of two characters is one difference of hashes wherever it happens. Rare
+  words are joined in SQL with the frequent word in the same surroundings (equal hash without the character), the differences are ranked by
+  how many words support them, and those with enough support are the confusable characters: none are given beforehand. Every rare word is
+  then joined with frequent words at exactly a learned difference; corrections are ranked by frequency.
+* *Hyphens.* A word that ends in a mark is the first part of a broken word if it makes a usual word with the first word of a line on its page or
+  the next, unless the corpus knows the part as the beginning of a compound that keeps its hyphen.
+
+Vocabularies, corrections and repaired words stay tables that are joined; only the confusable characters (at most ten a character) reach the
+driver.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,63 +33,79 @@ from ..operators.reflow import paragraph_starts
 from ..session import cut
 from .textform import composed, simplified_script
 
-# What a recogniser reads, and what stands on the page.
-HAN_MISREAD = (
-    "屯电 同司 午年 童量 媒煤 僧增 刹利 申中 牧收 氷水 此比 士上 么公 木本 友发 己已 巳已 莹营 干千 问间 日目 曰目 曰日 扳板 凤风 夫天 刀力 休体 冈网 "
-    "入人 人入 內间 末未 未末 土士 士土 大太 太大 天夫 治冶 冶治 侯候 析折 折析 拆折 戊戌 白自 自白 贷货 货贷 往住 住往 免兔 晴睛 竟竞 竞竟 壁璧 仑仓 仓仑 "
-    "間問 問間 電雷 雷電 買賣 賣買 東柬 柬東 貨賃 績續 續績"
-)
-LATIN_MISREAD = "0:o O:o 1:l I:l 1:i l:i i:l I:i l:I 1:I 0:O c:e e:c f:t t:f h:b b:h n:u u:n rn:m m:rn ri:n cl:d d:cl vv:w 5:s 5:S 8:B 6:b q:g g:q v:y ii:u"
-#: Marks that break a word at the end of a line.
+#: Marks that break a word at the end of a line (fixed values).
 BREAK_MARKS = "-‐‑‒–—­¬﹣－"
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-_TOKEN = re.compile(f"[{_LETTER}0-9]*[{_LETTER}][{_LETTER}0-9]*")
+_TOKEN = re.compile(f"[{_LETTER}0-9]+")
 _COMPOUND = re.compile(f"[{_LETTER}]+(?:-[{_LETTER}]+)+")
-_BROKEN = re.compile(f"([{_LETTER}0-9]+)[{BREAK_MARKS}]$")
-_FIGURE = re.compile(r"(?<![A-Za-z0-9.,])(?=[\d.,OoIl]*\d)(?=[\d.,]*[OoIl])[\dOoIl][\d.,OoIl]*(?![A-Za-z0-9])")
+_BROKEN = f"([{_LETTER}0-9]*[{_LETTER}])[{BREAK_MARKS}]$"
+_ENDS_BROKEN = re.compile(_BROKEN)
+_FIGURE = re.compile(r"[0-9A-Za-z]+(?:[.,][0-9A-Za-z]+)*")
+_DIGIT = re.compile("[0-9]")
+_NUMBER_BEFORE, _NUMBER_AFTER = re.compile("[0-9A-Za-z][.,]$"), re.compile("[.,][0-9A-Za-z]")
 _DIGITS = str.maketrans("0123456789０１２３４５６７８９", "0" * 20)
-_AS_FIGURE = str.maketrans("OoIl", "0011")
-_HAS_LATIN = re.compile(f"[{_LETTER}]")
-_HAN_WRONG = "".join(sorted({p[0] for p in HAN_MISREAD.split()}))
-_HAN_EITHER = re.compile("[" + "".join(sorted(set(HAN_MISREAD) - {" "})) + "]")
-_HAN_SUSPECT = re.compile(f"[{_HAN_WRONG}]")
-
-_NUM = r"(?:[0-9OoIl|]{1,5}|[ivxlc]{1,7}|[IVXLC]{1,7})"
-PAGE_NUMBER = re.compile(rf"^(?:第|page\s*)?\s*[-–—·]?\s*{_NUM}\s*(?:(?:[/／]|of)\s*{_NUM})?\s*[-–—·]?\s*(?:页|頁)?$", re.I)
-_FIGURES_IN_KEY = re.compile(r"[0-9OoIl]*\d[0-9OoIl]*")
+_AROUND = ".,，。;；)"
+_HAN = re.compile("[㐀-鿿]")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: What a gram is: a word, a compound with its hyphen, the shape of a figure, a figure with letters, three characters of unmarked words.
+_WORD, _JOINED, _SHAPE, _MIXED, _THREE = "w", "c", "s", "f", "h"
 
 
-def windows_of(text: str, pattern: re.Pattern[str]) -> Iterator[tuple[int, list[str]]]:
-    """The places of suspect characters and the windows of three characters that hold each; figures count as one figure."""
-    plain = text.translate(_DIGITS)
-    for m in pattern.finditer(plain):
-        i = m.start()
-        yield i, [plain[k : k + 3] for k in (i - 2, i - 1, i) if k >= 0 and k + 3 <= len(plain)]
+def _figures(text: str) -> Iterator[tuple[int, str]]:
+    """The figures of a word and a single letter that stands for itself, with their places."""
+    bare = text.strip(_AROUND)
+    if len(bare) == 1 and bare.isascii() and bare.isalpha():
+        yield text.index(bare), bare
+    elif _DIGIT.search(text):
+        for m in _FIGURE.finditer(text):
+            if _DIGIT.search(m.group()):
+                yield m.start(), m.group()
 
 
-def word_counts(words: DataFrame) -> DataFrame:
-    """``gram, n``: words of letters (with compounds that keep a hyphen), and windows of three characters around characters that may be
-    misread, counted over all words. Each task counts its batches before anything is shuffled."""
+def _words(text: str) -> Iterator[tuple[int, str]]:
+    """The words of letters and digits; the part before a break mark is no word, and longer numbers and parts of numbers say nothing."""
+    broken = _ENDS_BROKEN.search(text)
+    for m in _TOKEN.finditer(text):
+        t = m.group()
+        if len(t) < 2 or (broken and m.end() == broken.end(1)):
+            continue
+        if _DIGIT.search(t) and (_NUMBER_BEFORE.search(text, 0, m.start()) or _NUMBER_AFTER.match(text, m.end()) or (len(t) > 4 and t.isdigit())):
+            continue
+        yield m.start(), t
+
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """``kind, gram, n`` of distinct ``text, n``: what words are made of, counted over all words. Each batch is counted before anything is
+    shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             counts: Counter[str] = Counter()
-            for text, n in Counter(b.column("text").to_pylist()).items():
-                tokens = _TOKEN.findall(text)
-                for t in tokens[:-1] if tokens and _BROKEN.search(text) else tokens:  # a broken part is no word
-                    counts[t] += n
+            single: list[str] = []
+            for text, n in zip(b.column("text").to_pylist(), b.column("n").to_pylist(), strict=True):
+                grams = [_WORD + t for _, t in _words(text)]
                 if "-" in text:
-                    for t in _COMPOUND.findall(text):
-                        counts[t] += n
-                for _, grams in windows_of(text, _HAN_EITHER):
+                    grams += [_JOINED + t for t in _COMPOUND.findall(text)]
+                for _, t in _figures(text):
+                    grams.append(_SHAPE + t.translate(_DIGITS))
+                    if not t.replace(".", "").replace(",", "").isdigit():
+                        grams.append(_MIXED + t)
+                if not text.isascii() and _HAN.search(text):
+                    plain = text.translate(_DIGITS)
+                    grams += [_THREE + plain[i : i + 3] for i in range(len(plain) - 2)]
+                if n == 1:
+                    single += grams
+                else:
                     for g in grams:
                         counts[g] += n
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["gram", "n"])
+            counts.update(single)
+            grams = list(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([g[0] for g in grams], pa.string()), pa.array([g[1:] for g in grams], pa.string()), pa.array(list(counts.values()), pa.int64())], ["kind", "gram", "n"]
+            )
 
-    texts = words.where(F.length("text") > 0).select("text")
-    return texts.mapInArrow(count, "gram string not null, n long not null").groupBy("gram").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(count, "kind string not null, gram string not null, n long not null").groupBy("kind", "gram").agg(F.sum("n").alias("n"))
 
 
 def anagram_hash(word: Column) -> Column:
@@ -91,108 +113,208 @@ def anagram_hash(word: Column) -> Column:
     return F.aggregate(F.split(word, ""), F.lit(0).cast("long"), lambda acc, c: acc + F.when(c == "", 0).otherwise(F.xxhash64(c).bitwiseAND(0xFFFFFFFFFF)))
 
 
-def corrections(counts: DataFrame, least: int = 20, times: int = 20) -> DataFrame:
-    """``gram, best, n, n_best``: rare words and the frequent word each stands for, the most frequent one first (one row a word).
+def _parts(counts: DataFrame) -> DataFrame:
+    """``kind, gram, n, h, i, x``: each gram with each of its characters (in words also two neighbouring ones) and its place."""
+    size = F.length("gram")
+    grams = counts.where(F.col("kind").isin(_WORD, _SHAPE, _THREE) & (size >= 2)).withColumn("h", anagram_hash(F.col("gram")))
+    one = F.transform(F.sequence(F.lit(1), size), lambda i: F.struct(i.alias("i"), F.substring(F.col("gram"), i, F.lit(1)).alias("x")))
+    two = F.transform(F.sequence(F.lit(1), size - 1), lambda i: F.struct(i.alias("i"), F.substring(F.col("gram"), i, F.lit(2)).alias("x")))
+    parts = grams.withColumn("_p", F.explode(F.when(F.col("kind") == _WORD, F.concat(one, two)).otherwise(one)))
+    return parts.select("kind", "gram", "n", "h", "_p.i", "_p.x")
+
 
-    A word is a misreading of another if one confusable pair turns it into a word at least ``times`` as frequent and seen ``least`` times.
+def confusions(counts: DataFrame, least: int = 20, times: int = 20, support: float = 2.0, specific: float = 0.2, share: float = 0.1) -> DataFrame:
+    """``kind, wrong, right, delta, weight, support``: characters that are misread as others, learned from the words.
+
+    A rare word supports a confusion if the word seen most in the same surroundings (seen ``least`` times, and ``times`` as often) has another
+    character in one place; the more characters the surroundings admit, the less it says. A confusion needs a weight of ``support`` (a digit in
+    a word, whose letter is known from figures, 1), must be ``specific`` of its surroundings, must have ``share`` of the weight of the
+    character's likeliest reading (so a character has ten at most), and in unmarked words must be seen in two places of the window. Numbers
+    are not misread as numbers, and characters of two scripts that are one character aren't confusions.
+    """
+    script = simplified_script(counts.sparkSession)
+    parts = _parts(counts)
+    rest = F.concat(F.substring(F.col("gram"), F.lit(1), F.col("i") - 1), F.lit("\0"), F.substring(F.col("gram"), F.col("i") + F.length("x"), F.lit(1 << 20)))
+    parts = parts.withColumn("residual", F.col("h") - anagram_hash(F.col("x"))).withColumn("rest", rest)
+    around = Window.partitionBy("kind", "i", "residual", "rest")
+    han = (F.col("kind") != _THREE) | F.col("x").rlike("[㐀-鿿]")
+    top = F.max(F.when(han & (F.col("n") >= least), F.struct("n", "x", "h"))).over(around)
+    parts = parts.withColumn("alternatives", F.count(F.lit(1)).over(around)).withColumn("top", top)
+    wrong, right = F.col("x"), F.col("top.x")
+    sizes = F.length(wrong) + F.length(right)
+    apart = (F.left(wrong, F.lit(1)) != F.left(right, F.lit(1))) & (F.right(wrong, F.lit(1)) != F.right(right, F.lit(1)))
+    digits = wrong.rlike("^[0-9]+$") & right.rlike("^[0-9]+$")
+    seen = parts.where(han & (right != wrong) & (F.col("top.n") >= F.col("n") * times) & (sizes < 4) & apart & ~digits & (F.length("rest") > 1))
+    seen = seen.where(~wrong.rlike("^[.,]$") & ~right.rlike("^[.,]$"))
+    if script:
+        table = ("".join(map(chr, script)), "".join(script.values()))
+        seen = seen.where(F.translate(wrong, *table) != F.translate(right, *table))
+    pairs = seen.groupBy("kind", wrong.alias("wrong"), right.alias("right"), (F.col("top.h") - F.col("h")).alias("delta")).agg(
+        F.sum(1.0 / (F.col("alternatives") - 1)).alias("weight"), F.count(F.lit(1)).alias("support"), F.count_distinct("i").alias("_places")
+    )
+    pairs = pairs.withColumn("_best", F.max("weight").over(Window.partitionBy("kind", "wrong")))
+    figure = (F.col("kind") == _WORD) & (F.col("wrong").rlike("^[0-9]$") | F.col("right").rlike("^[0-9]$"))
+    enough = F.col("weight") >= F.when(figure, F.lit(1.0)).when(F.col("kind") == _SHAPE, F.lit(support / 2)).otherwise(F.lit(support))
+    places = (F.col("kind") != _THREE) | (F.col("_places") >= 2)
+    ranked = enough & places & (figure | (F.col("weight") >= F.col("support") * specific)) & (F.col("weight") >= F.col("_best") * share)
+    return pairs.where(ranked).drop("_best", "_places")
+
+
+class Confusable:
+    """The learned confusions as the workers use them."""
+
+    def __init__(self, rows: list[tuple[str, str, str, int]]):
+        values: dict[str, tuple[int, str]] = {}
+        for kind, wrong, right, support in rows:
+            for letter, digit in ((wrong, right), (right, wrong)):
+                if kind == _WORD and len(letter) == 1 and letter.isalpha() and digit.isdigit():
+                    values[letter] = max(values.get(letter, (0, "")), (support, digit))
+        rows = [r[:3] for r in rows]
+        self.han = frozenset(w for k, w, _ in rows if k == _THREE)
+        #: Letters that stand for digits, known from the shapes of figures.
+        self.letters = "".join(sorted(w for k, w, r in rows if k == _SHAPE and r == "0" and w.isascii() and w.isalpha()))
+        letters = set(self.letters)
+        #: Those whose digit is known, and their digits.
+        sure = [c for c in self.letters if c in values]
+        self.values = ("".join(sure), "".join(values[c][1] for c in sure))
+        self.words = sorted({(w, r) for k, w, r in rows if k == _WORD and (not (w.isdigit() or r.isdigit()) or w in letters or r in letters)})
+        self.in_words = re.compile("|".join(re.escape(w) for w in sorted({w for w, _ in self.words}, key=lambda w: (-len(w), w)))) if self.words else None
+        self.in_han = re.compile("[" + "".join(sorted(self.han)) + "]") if self.han else None
+
+
+def confusable(counts: DataFrame, **options: float) -> tuple[Confusable, list[tuple]]:
+    """The confusions, read to the driver (at most ten a character, whatever the corpus), and the rows."""
+    rows = sorted(tuple(r) for r in confusions(counts, **options).select("kind", "wrong", "right", "delta", "support").collect())
+    return Confusable([(*r[:3], r[4]) for r in rows]), rows
+
+
+def corrections(counts: DataFrame, known: Confusable, rows: list[tuple], least: int = 20, times: int = 20) -> DataFrame:
+    """``kind, gram, best``: rare grams and the frequent one each stands for, the most frequent one first (one row a gram).
+
+    A gram is a misreading of another if one learned difference turns it into a gram at least ``times`` as frequent and seen ``least`` times. A
+    figure is misread if its letters all stand for digits and the figures of the shape it then has are as much more frequent; a code that makes
+    up half of what has its shape, and isn't as rare beside the figure it would be, is none.
     """
     spark = counts.sparkSession
-    pairs = [(p[0], p[1]) for p in HAN_MISREAD.split()] + [tuple(p.split(":")) for p in LATIN_MISREAD.split()]
-    deltas = spark.createDataFrame(pairs, "wrong string, right string").withColumn("delta", anagram_hash(F.col("right")) - anagram_hash(F.col("wrong")))
-    hashed = counts.withColumn("h", anagram_hash(F.col("gram")))
-    suspect = hashed.join(F.broadcast(deltas), F.expr("instr(gram, wrong) > 0")).select("gram", "n", "wrong", "right", (F.col("h") + F.col("delta")).alias("h"))
-    frequent = hashed.where(F.col("n") >= least).select(F.col("gram").alias("best"), F.col("n").alias("n_best"), "h")
+    wanted = [r[:4] for r in rows if r[0] == _THREE or (r[0] == _WORD and (r[1], r[2]) in set(known.words))]
+    pairs = spark.createDataFrame(wanted, "kind string, x string, right string, delta long")
+    frequent = counts.where((F.col("n") >= least) & F.col("kind").isin(_WORD, _THREE)).select("kind", F.col("gram").alias("best"), F.col("n").alias("n_best"), anagram_hash(F.col("gram")).alias("h"))
+    suspect = _parts(counts).join(F.broadcast(pairs), ["kind", "x"]).withColumn("h", F.col("h") + F.col("delta"))  # at most ten a character
     # The hashes agree up to anagrams; what counts is one substitution at one place.
-    same = F.exists(
-        F.sequence(F.lit(1), F.length("gram")),
-        lambda i: (F.substring(F.col("gram"), i, F.length("wrong")) == F.col("wrong"))
-        & (F.concat(F.substring(F.col("gram"), F.lit(1), i - 1), F.col("right"), F.substring(F.col("gram"), i + F.length("wrong"), F.lit(1 << 20))) == F.col("best")),
-    )
-    found = suspect.join(frequent, "h").where((F.col("n_best") >= F.col("n") * times) & same)
-    rank = Window.partitionBy("gram").orderBy(F.desc("n_best"), "best")
-    return found.withColumn("_r", F.row_number().over(rank)).where("_r = 1").select("gram", "best", "n", "n_best")
-
-
-class Reader:
-    """Judges words by the tables of counts and corrections (workers hold one)."""
-
-    def __init__(self, fixes: dict[str, str], kept: frozenset[str], usual: dict[str, int]):
-        self.fixes, self.kept, self.usual = fixes, kept, usual
-        #: Beginnings of usual words and what is left of them: only such a rest shows that a word was broken there.
-        self.rests: dict[str, set[str]] = {}
-        for w, n in usual.items():
-            for i in range(1, len(w)):
-                if w[:i] not in usual or usual.get(w[i:], 0) <= 2 * n:
-                    self.rests.setdefault(w[:i], set()).add(w[i:])
-        self.tails = frozenset(t for r in self.rests.values() for t in r)
-
-    def kind(self, text: str) -> tuple[str, str] | None:
-        """Kind and evidence: ``misread``, ``broken`` (ends in a mark, with its letters) or ``tail`` (letters that may be a rest)."""
-        m = _BROKEN.search(text)
-        if m and _HAS_LATIN.match(m.group(1)[-1]):
-            part = self.fixes.get(m.group(1), m.group(1)).casefold()
-            if part not in self.kept and part in self.rests:
-                return "broken", part
-        if self.repaired(text) != text:
-            return "misread", ""
-        m = _TOKEN.match(text)
-        return ("tail", m.group()) if m and m.group() in self.tails else None
-
-    def repaired(self, text: str) -> str:
-        """The word with its misread characters put right."""
-        out = text
-        if not text.isascii() and _HAN_SUSPECT.search(text):
-            plain = text.translate(_DIGITS)
-            chars = list(text)
-            for i, grams in windows_of(text, _HAN_SUSPECT):
-                votes: Counter[str] = Counter()
-                for g, k in zip(grams, [k for k in (i - 2, i - 1, i) if k >= 0 and k + 3 <= len(plain)], strict=True):
-                    best = self.fixes.get(g)
-                    if best and best[i - k] != g[i - k]:
-                        votes[best[i - k]] += 1
-                # All windows but one must agree (where two errors meet, one of them is seen in none).
-                if votes and votes.most_common(1)[0][1] >= max(1, len(grams) - 1):
-                    chars[i] = votes.most_common(1)[0][0]
-            out = "".join(chars)
-        if _HAS_LATIN.search(out):
-            out = _FIGURE.sub(lambda m: m.group() if m.group() == "O2" else m.group().translate(_AS_FIGURE), out)
-            out = _TOKEN.sub(lambda m: self.fixes.get(m.group(), m.group()) if len(m.group()) > 1 else m.group(), out)
-            if out.strip(".,，。;；)") in ("o", "O", "l"):
-                out = out.translate(_AS_FIGURE)
-        return out
-
-
-def reader_tables(words: DataFrame, most: int = 2_000_000, usual_least: int = 5, **options: int) -> Reader:
-    """The tables for ``Reader``. Their size is that of a vocabulary; beyond ``most`` entries they are refused rather than broadcast."""
-    counts = cut(word_counts(words))
-    fixes = corrections(counts, **options).select("gram", "best").limit(most + 1).collect()
-    # First parts of compounds that keep their hyphen, where the compound is as usual as words are.
-    first = counts.where(F.col("gram").contains("-") & (F.col("n") >= 3)).select(F.lower(F.regexp_extract("gram", "^[^-]+", 0)).alias("p"))
-    kept = first.distinct().limit(most + 1).collect()
-    usual = counts.where((F.col("n") >= usual_least) & F.col("gram").rlike(f"^[{_LETTER}]{{2,}}$")).groupBy(F.lower("gram").alias("w")).agg(F.sum("n").alias("n")).limit(most + 1).collect()
-    if max(len(fixes), len(kept), len(usual)) > most:
-        raise ValueError("the vocabulary is larger than the bound for a broadcast")
-    return Reader({r[0]: r[1] for r in fixes}, frozenset(r[0] for r in kept), {r[0]: r[1] for r in usual})
-
-
-def edge_lines(words: DataFrame, geometry: DataFrame | None = None, top_zone: float = 0.078, bottom_zone: float = 0.93) -> DataFrame:
-    """``doc_id, page_no, zone, line, company, first, alone, text, members, key, number`` of the lines in the top and bottom zones of pages.
-
-    Where a page's geometry is missing its height is taken from its lowest word. Only words near the edges are read beyond the scan.
+    other = F.concat(F.substring(F.col("gram"), F.lit(1), F.col("i") - 1), F.col("right"), F.substring(F.col("gram"), F.col("i") + F.length("x"), F.lit(1 << 20)))
+    found = suspect.hint("merge").join(frequent, ["kind", "h"]).where((F.col("n_best") >= F.col("n") * times) & (other == F.col("best")))
+    best = found.groupBy("kind", "gram").agg(F.max_by("best", F.struct("n_best", "best")).alias("best"))
+    if not known.letters:
+        return best
+    shapes = counts.where(F.col("kind") == _SHAPE).select(F.col("gram").alias("shape"), F.col("n").alias("n_shape"))
+    target = shapes.where((F.col("n_shape") >= least) & F.col("shape").rlike("^[0.,]+$")).select(F.col("shape").alias("target"), F.col("n_shape").alias("n_best"))
+    mixed = counts.where((F.col("kind") == _MIXED) & F.col("gram").rlike(f"^[0-9.,{known.letters}]+$"))
+    mixed = mixed.withColumn("shape", F.translate("gram", "123456789", "000000000")).withColumn("target", F.translate("shape", known.letters, "0" * len(known.letters)))
+    mixed = mixed.join(shapes.hint("merge"), "shape").join(target.hint("merge"), "target")
+    mixed = mixed.withColumn("best", F.translate("gram", *known.values))
+    as_such = counts.where(F.col("kind") == _WORD).select(F.col("gram").alias("best"), F.col("n").alias("n_as_such"))
+    mixed = mixed.join(as_such.hint("merge"), "best", "left")
+    code = (F.col("n_shape") >= 4) & (F.col("n") * 2 > F.col("n_shape")) & (F.length("gram") > 1) & (F.coalesce("n_as_such", F.lit(0)) < 4 * F.col("n"))
+    figures = mixed.where((F.col("n_best") >= F.col("n_shape") * times) & ~code)
+    return best.unionByName(figures.select("kind", "gram", "best"))
+
+
+def repairs(texts: DataFrame, known: Confusable, fixes: DataFrame) -> DataFrame:
+    """``text, repaired`` of the distinct words that hold a misread character. A letter whose digit isn't known stays.
+
+    An unmarked character is misread if all but one of the windows around it say so (where two errors meet, one of them is seen in none).
     """
-    w = words.where(F.length("text") > 0)
-    near = w.where((F.col("top") < 68) | (F.col("top") > 545)).select("doc_id", "company", "page_no", "word_no", "text", "x0", "x1", "top").distinct()
-    page = Window.partitionBy("doc_id", "page_no")
-    near = near.withColumn("_low", F.max("top").over(page)).withColumn("_first", F.col("page_no") == F.min("page_no").over(Window.partitionBy("doc_id")))
+
+    def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = re.compile(f"[{known.letters}]") if known.letters else None
+        for b in batches:
+            rows: list[tuple[str, int, int, str, str]] = []
+            for text in b.column("text").to_pylist():
+                if known.in_han and not text.isascii():
+                    plain = text.translate(_DIGITS)
+                    for m in known.in_han.finditer(plain):
+                        i = m.start()
+                        rows += [(text, i, i - k, _THREE, plain[k : k + 3]) for k in (i - 2, i - 1, i) if k >= 0 and k + 3 <= len(plain)]
+                if known.in_words:
+                    rows += [(text, i, 0, _WORD, t) for i, t in _words(text) if known.in_words.search(t) and not t.isdigit()]
+                if letters:
+                    rows += [(text, i, 0, _MIXED, t) for i, t in _figures(text) if letters.search(t)]
+            cols = list(zip(*rows, strict=True)) or [[]] * 5
+            kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["text", "at", "off", "kind", "gram"])
+
+    seen = texts.select("text").mapInArrow(suspects, "text string, at int, off int, kind string, gram string")
+    hits = seen.hint("merge").join(fixes, ["kind", "gram"]).groupBy("text").agg(F.collect_list(F.struct("at", "off", "kind", "gram", "best")).alias("hits"))
+
+    def repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [(t, repaired(t, h)) for t, h in zip(b.column("text").to_pylist(), b.column("hits").to_pylist(), strict=True)]
+            out = [(t, r) for t, r in out if r is not None]
+            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in out], pa.string()), pa.array([r for _, r in out], pa.string())], ["text", "repaired"])
+
+    return hits.mapInArrow(repair, "text string, repaired string")
+
+
+def repaired(text: str, hits: list[dict]) -> str | None:
+    """The word with its misread characters put right, or None if there are none."""
+    votes: dict[int, Counter[str]] = {}
+    spans: dict[int, tuple[str, str]] = {}
+    for h in sorted(hits, key=lambda h: h["kind"]):  # a known word ("w") before the shape of a figure ("f")
+        at, off = h["at"], h["off"]
+        if h["kind"] != _THREE:
+            spans[at] = (h["gram"], h["best"])
+        elif h["best"][off] != h["gram"][off]:
+            votes.setdefault(at, Counter())[h["best"][off]] += 1
+    chars, found = list(text), bool(spans)
+    for at, v in votes.items():
+        windows = min(at, len(text) - 3) - max(0, at - 2) + 1
+        best, n = max(v.items(), key=lambda x: (x[1], x[0]))
+        if n >= max(1, windows - 1):
+            chars[at], found = best, True
+    for at, (gram, best) in spans.items():
+        if "".join(chars[at : at + len(gram)]) == gram:
+            chars[at : at + len(gram)] = [best, *[""] * (len(gram) - 1)]
+    return "".join(chars) if found else None
+
+
+class Reading:
+    """What the corpus says about its words, as tables in the shared folder: ``counts`` (``kind, gram, n``), ``repairs`` (``text, repaired``),
+    and the confusable characters."""
+
+    def __init__(self, words: DataFrame, least: int = 20, times: int = 20, **learning: float):
+        texts = cut(words.where(F.length("text") > 0).groupBy("text").agg(F.count(F.lit(1)).alias("n")))
+        self.counts = cut(word_counts(texts))
+        self.known, rows = confusable(self.counts, least=least, times=times, **learning)
+        self.repairs = cut(repairs(texts, self.known, corrections(self.counts, self.known, rows, least, times)))
+
+
+def page_sizes(words: DataFrame, geometry: DataFrame | None = None) -> DataFrame:
+    """``doc_id, page_no, height, first``: the height of each page with words - where its geometry is missing that of the usual paper its lowest
+    word fits on - and whether it is its report's first."""
+    pages = words.groupBy("doc_id", "page_no").agg(F.max("top").alias("_low"))
     if geometry is not None:
         size = geometry.groupBy("doc_id", "page_no").agg(F.max("height").alias("height"))
-        near = near.join(size, ["doc_id", "page_no"], "left")
+        pages = pages.join(size, ["doc_id", "page_no"], "left")
     else:
-        near = near.withColumn("height", F.lit(None).cast("double"))
-    guess = F.when(F.col("_low") > 770, 842.0).when(F.col("_low") > 600, 792.0).otherwise(595.0)
-    near = near.withColumn("height", F.coalesce("height", guess))
+        pages = pages.withColumn("height", F.lit(None).cast("double"))
+    guess = F.when(F.col("_low") > 770, F.greatest(F.lit(842.0), F.col("_low"))).when(F.col("_low") > 600, 792.0).otherwise(595.0)
+    pages = pages.withColumn("height", F.coalesce("height", guess)).drop("_low")
+    first = pages.groupBy("doc_id").agg(F.min("page_no").alias("_first"))
+    return pages.join(first, "doc_id").withColumn("first", F.col("page_no") == F.col("_first")).drop("_first")
+
+
+def edge_lines(words: DataFrame, geometry: DataFrame | None = None, letters: str = "", top_zone: float = 0.078, bottom_zone: float = 0.93) -> DataFrame:
+    """``doc_id, page_no, zone, line, company, first, alone, text, members, key, number, figure`` of the lines in the top and bottom zones of
+    pages. The zones go with the height of each page; ``letters`` are those that stand for digits."""
+    w = words.where(F.length("text") > 0)
+    pages = cut(page_sizes(w, geometry))
+    ends = pages.agg(F.max("height").alias("most"), F.min("height").alias("least")).first()
+    most, least = ends["most"] or 0.0, ends["least"] or 0.0
+    # Words in no page's zone stay behind before anything is shuffled.
+    near = w.where((F.col("top") < max(most * top_zone, 46.0)) | (F.col("top") > least * bottom_zone))
+    near = near.select("doc_id", "company", "page_no", "word_no", "text", "x0", "x1", "top").distinct().join(pages.hint("merge"), ["doc_id", "page_no"])
     zone = F.when(F.col("top") < F.greatest(F.col("height") * top_zone, F.lit(46.0)), "top").when(F.col("top") > F.col("height") * bottom_zone, "bottom")
-    near = near.withColumn("zone", zone).where("zone is not null")
+    near = near.withColumn("zone", zone).where("zone is not null").withColumnRenamed("first", "_first")
     order = Window.partitionBy("doc_id", "page_no", "zone").orderBy("top", "x0", "word_no")
     starts = F.coalesce(F.col("top") - F.lag("top").over(order) > 1.5, F.lit(False))
     near = near.withColumn("row", F.sum(starts.cast("int")).over(order))
@@ -217,7 +339,7 @@ def edge_lines(words: DataFrame, geometry: DataFrame | None = None, top_zone: fl
         for b in batches:
             key, number = [], []
             for text, company in zip(b.column("text").to_pylist(), b.column("company").to_pylist(), strict=True):
-                k, n = line_key(text, company or "", script)
+                k, n = line_key(text, company or "", script, letters)
                 key.append(k)
                 number.append(n)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(key, pa.string()), pa.array(number, pa.bool_())], [*b.schema.names, "key", "number"])
@@ -226,24 +348,35 @@ def edge_lines(words: DataFrame, geometry: DataFrame | None = None, top_zone: fl
     return lines.mapInArrow(keys, schema)
 
 
-def line_key(text: str, company: str, script: dict[int, str]) -> tuple[str, bool]:
+@lru_cache(maxsize=4)
+def _number_forms(letters: str) -> tuple[re.Pattern[str], re.Pattern[str]]:
+    """The form of a page number, and figures inside a line, where ``letters`` may stand for digits."""
+    digit = f"[0-9{letters}|]"
+    one = rf"(?:{digit}{{1,5}}|[ivxlc]{{1,7}}|[IVXLC]{{1,7}})"
+    form = re.compile(rf"^(?:第|page\s*)?\s*[-–—·]?\s*{one}\s*(?:(?:[/／]|of)\s*{one})?\s*[-–—·]?\s*(?:页|頁)?$", re.I)
+    return form, re.compile(f"[0-9{letters}]*\\d[0-9{letters}]*")
+
+
+def line_key(text: str, company: str, script: dict[int, str], digit_letters: str = "") -> tuple[str, bool]:
     """The key of a line - its letters in one script, ``@`` for the company's name - and whether it has the form of a page number."""
+    page_number, figures = _number_forms(digit_letters)
     plain = composed(text).translate(script)
     name = re.sub(r"^\d+\s*[_\-\s]\s*", "", company).translate(script)
-    letters = _NOT_LETTERS.sub("", _FIGURES_IN_KEY.sub("", plain)).casefold()
+    letters = _NOT_LETTERS.sub("", figures.sub("", plain)).casefold()
     if name and name not in letters and name in letters[::-1]:
         letters = letters[::-1]
     bare = plain.replace(name, "").replace("股份有限公司", "").strip() if name else plain.strip()
-    return (letters.replace(name, "@") if name else letters), bool(PAGE_NUMBER.match(bare)) and any(c.isalnum() for c in bare)
+    return (letters.replace(name, "@") if name else letters), bool(page_number.match(bare)) and any(c.isalnum() for c in bare)
 
 
-def furniture_words(words: DataFrame, geometry: DataFrame | None = None, share: float = 0.002, min_pages: int = 4, first_share: float = 0.05) -> DataFrame:
+def furniture_words(words: DataFrame, geometry: DataFrame | None = None, letters: str = "", digits: str = "", share: float = 0.002, min_pages: int = 4, first_share: float = 0.05) -> DataFrame:
     """``doc_id, page_no, word_no`` of the words of running titles, running company names and page numbers.
 
     A key recurs if it stands at the edge of two pages of a report, or of ``share`` of all pages with edge lines (``min_pages`` at least). On
-    a report's first page only keys are furniture that hold the company's name or hardly ever open a report: others are headings.
+    a report's first page only keys are furniture that hold the company's name or hardly ever open a report: others are headings. ``letters``
+    are those misread for ``digits`` in figures.
     """
-    lines = cut(edge_lines(words, geometry))
+    lines = cut(edge_lines(words, geometry, letters))
     lettered = lines.where(F.length("key") >= 2)
     pages = lines.select("doc_id", "page_no").distinct().agg(F.count(F.lit(1)).alias("n_pages"))
     usage = lettered.groupBy("key").agg(F.count_distinct("doc_id", "page_no").alias("n"), F.sum(F.col("first").cast("int")).alias("n_first"))
@@ -251,84 +384,112 @@ def furniture_words(words: DataFrame, geometry: DataFrame | None = None, share:
     common = usage.crossJoin(F.broadcast(pages)).where((F.col("n") >= min_pages) & (F.col("n") >= F.col("n_pages") * share))  # one row
     common = common.select("key", ((F.col("n_first") > F.col("n") * first_share) & ~F.col("key").contains("@")).alias("opens"))
     own = (
-        lettered.where(~F.col("first") & (F.length("key") <= 40)).groupBy("doc_id", "key").agg(F.count_distinct("page_no").alias("n")).where("n >= 2").select("doc_id", "key")
+        lettered.where(~F.col("first")).groupBy("doc_id", "key").agg(F.count_distinct("page_no").alias("n")).where("n >= 2").select("doc_id", "key")
     )
     by_corpus = lettered.join(common, "key").where(~(F.col("first") & F.col("opens"))).select("doc_id", "page_no", "zone", "line")
     by_report = lettered.where(~F.col("first")).join(own, ["doc_id", "key"], "left_semi").select("doc_id", "page_no", "zone", "line")
     numbered = lines.where(F.col("number") & ((F.col("zone") == "bottom") | F.col("key").contains("@")))
     # A bare figure beside other words is a page number if it runs with the pages of the report.
-    step = F.col("page_no") - F.translate(F.regexp_extract("text", r"[0-9OoIl]+", 0), "OoIl", "0011").try_cast("int")
+    step = F.col("page_no") - F.translate(F.regexp_extract("text", f"[0-9{letters}]+", 0), letters, digits).try_cast("int")
     numbered = numbered.withColumn("_step", step)
     runs = numbered.groupBy("doc_id", "_step").agg(F.count_distinct("page_no").alias("n")).where("n >= 2").select("doc_id", "_step")
     formed = F.col("alone") | F.col("text").rlike("[第页頁]|(?i)page|^[-–— ]|^[ivxlcIVXLC]+$")
     numbered = numbered.where(formed).unionByName(numbered.where(~formed).join(runs, ["doc_id", "_step"], "left_semi")).select("doc_id", "page_no", "zone", "line")
-    # One misread character: one half of the key is still the same as that of a common key with the company's name written out.
+    # Misread characters: one in nine at most, so of one part more than that one is still the same as that of a common key with the company's
+    # name written out. A title of less than four letters has no misread form: half of it would be another word.
     script = simplified_script(words.sparkSession)
-    name = F.translate(F.regexp_replace("company", r"^\d+\s*[_\-\s]\s*", ""), "".join(chr(c) for c in script), "".join(script.values()))
+    name = F.regexp_replace("company", r"^\d+\s*[_\-\s]\s*", "")
+    name = F.translate(name, "".join(chr(c) for c in script), "".join(script.values())) if script else name
     companies = lettered.select("company").distinct().withColumn("name", name)
     frequent = common.where(~F.col("opens") & (F.length("key") >= 1))
     full_form = F.expr("replace(key, '@', coalesce(name, ''))")
     titles = (
         lettered.join(frequent.select("key"), "key", "left_semi").select("company", "key").distinct().join(companies, "company").select("company", full_form.alias("full")).distinct()
     )
-    half = F.floor(F.length("full") / 2).cast("int")
+    size = F.length("full")
+    most = F.greatest(F.lit(1), F.floor(size / 9)).cast("int")
+
+    def in_parts(df: DataFrame) -> DataFrame:
+        def part(k: Column) -> Column:
+            a, b = F.floor(k * size / (most + 1)).cast("int"), F.floor((k + 1) * size / (most + 1)).cast("int")
+            return F.struct(k.alias("side"), F.substring(F.col("full"), a + 1, b - a).alias("part"))
 
-    def halves(df: DataFrame) -> DataFrame:
-        left, right = F.substring(F.col("full"), F.lit(1), half), F.substring(F.col("full"), half + 1, F.lit(1 << 20))
-        side = F.explode(F.array(F.struct(F.lit(0).alias("side"), left.alias("part")), F.struct(F.lit(1).alias("side"), right.alias("part"))))
-        return df.where(F.length("full") >= 4).withColumn("_n", F.length("full")).withColumn("_h", side).select("*", "_h.side", "_h.part").drop("_h")
+        parts = F.explode(F.transform(F.sequence(F.lit(0), most), part)).alias("_h")
+        return df.where(size >= 4).select("*", size.alias("_n"), most.alias("_most"), parts).select("*", "_h.side", "_h.part").drop("_h")
 
     odd = lettered.where(~F.col("first")).join(frequent.select("key"), "key", "left_anti").join(companies, "company").withColumn("full", full_form)
-    odd = odd.where(F.length("full").between(4, 60)).select("doc_id", "page_no", "zone", "line", "company", "full")
-    near = halves(odd).alias("o").join(halves(titles).alias("t"), [F.col(f"o.{c}") == F.col(f"t.{c}") for c in ("company", "_n", "side", "part")])
-    near = near.where(F.levenshtein("o.full", "t.full") <= F.greatest(F.lit(1), F.floor(F.col("o._n") / 9))).select("o.doc_id", "o.page_no", "o.zone", "o.line")
+    odd = odd.select("doc_id", "page_no", "zone", "line", "company", "full")
+    near = in_parts(odd).alias("o").join(in_parts(titles).alias("t"), [F.col(f"o.{c}") == F.col(f"t.{c}") for c in ("company", "_n", "side", "part")])
+    near = near.where(F.levenshtein("o.full", "t.full") <= F.col("o._most")).select("o.doc_id", "o.page_no", "o.zone", "o.line")
     hit = by_corpus.unionByName(by_report).unionByName(numbered).unionByName(near).distinct()
     members = lines.join(hit, ["doc_id", "page_no", "zone", "line"], "left_semi").select("doc_id", "page_no", F.explode("members").alias("word_no"))
     return members.distinct()
 
 
-def noisy_words(words: DataFrame, geometry: DataFrame | None = None, reader: Reader | None = None, **options: int) -> DataFrame:
+def broken_words(words: DataFrame, counts: DataFrame, usual_least: int = 5) -> DataFrame:
+    """``doc_id, page_no, word_no`` of the first parts of words broken at a line end.
+
+    A word that ends in a mark is paired with the first words of the lines of its page and the next. The two are one word if together they are
+    usual (seen ``usual_least`` times, whatever the case), unless the part is a usual word itself and the rest is more than twice as usual as
+    the whole, or the part begins a compound that keeps its hyphen (seen three times).
+    """
+    w = words.where(F.length("text") > 0).select("doc_id", "page_no", "word_no", "text", "x0", "x1", "top")
+    part = F.lower(F.regexp_extract("text", _BROKEN, 1))
+    marked = w.select("doc_id", "page_no", "word_no", "top", part.alias("part")).where("part <> ''").distinct()
+    kept = counts.where((F.col("kind") == _JOINED) & (F.col("n") >= 3)).select(F.lower(F.regexp_extract("gram", "^[^-]+", 0)).alias("part")).distinct()
+    marked = marked.join(kept.hint("merge"), "part", "left_anti")
+    near = marked.select("doc_id", "page_no", "word_no", "top", "part", F.explode(F.array(F.col("page_no"), F.col("page_no") + 1)).alias("_page"))
+    pages = near.select("doc_id", F.col("_page").alias("page_no")).distinct()
+    row = F.bround(F.col("top") / 3)
+    along = Window.partitionBy("doc_id", "page_no").orderBy(row, "x0", "word_no")
+    firsts = w.join(pages.hint("merge"), ["doc_id", "page_no"], "left_semi")
+    apart = (F.lag(row).over(along) != row) | (F.col("x0") - F.lag("x1").over(along) > 8)
+    firsts = firsts.withColumn("_starts", F.coalesce(apart, F.lit(True))).where("_starts")
+    rest = F.regexp_extract("text", f"^[{_LETTER}0-9]*[{_LETTER}][{_LETTER}0-9]*", 0)
+    firsts = firsts.select("doc_id", F.col("page_no").alias("_page"), F.col("top").alias("_top"), rest.alias("rest")).where((F.col("rest") != "") & (F.col("rest") == F.lower("rest"))).distinct()
+    pairs = near.join(firsts.hint("merge"), ["doc_id", "_page"]).where((F.col("_page") != F.col("page_no")) | (F.abs(F.col("_top") - F.col("top")) > 3))
+    usual = counts.where((F.col("kind") == _WORD) & (F.col("n") >= usual_least) & F.col("gram").rlike(f"^[{_LETTER}]{{2,}}$"))
+    usual = usual.groupBy(F.lower("gram").alias("w")).agg(F.sum("n").alias("n"))
+    whole = pairs.withColumn("w", F.concat("part", "rest")).join(usual.hint("merge"), "w")
+    of_part = usual.select(F.col("w").alias("part"), F.col("n").alias("n_part")).hint("merge")
+    of_rest = usual.select(F.col("w").alias("rest"), F.col("n").alias("n_rest")).hint("merge")
+    whole = whole.join(of_part, "part", "left").join(of_rest, "rest", "left")
+    return whole.where(F.col("n_part").isNull() | (F.coalesce("n_rest", F.lit(0)) <= 2 * F.col("n"))).select("doc_id", "page_no", "word_no").distinct()
+
+
+def misread_words(words: DataFrame, repairs: DataFrame, salts: int = 8) -> DataFrame:
+    """``doc_id, page_no, word_no, repaired`` of the words whose text is among the repaired. Texts are compared by their hashes (96 bits), and a
+    text that holds a large share of all words is spread over ``salts`` tasks."""
+
+    def key(df: DataFrame) -> DataFrame:
+        return df.withColumn("_a", F.xxhash64("text")).withColumn("_b", F.hash("text")).drop("text")
+
+    w = key(words.where(F.length("text") > 0).select("doc_id", "page_no", "word_no", "text")).withColumn("_s", F.pmod(F.xxhash64("doc_id", "page_no"), F.lit(salts)))
+    r = key(repairs).withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
+    return w.join(r.hint("merge"), ["_a", "_b", "_s"]).select("doc_id", "page_no", "word_no", "repaired")
+
+
+def noisy_words(words: DataFrame, geometry: DataFrame | None = None, **options: float) -> DataFrame:
     """``doc_id, page_no, word_no, kind`` (distinct, one kind a word): ``furniture`` before ``hyphen`` before ``misread``.
 
     Words without id, page, number or text are no cases; a word drawn twice is one; late and unordered pages don't matter; an empty table
     gives an empty result.
     """
-    words = words.where(F.col("doc_id").isNotNull() & F.col("page_no").isNotNull() & F.col("word_no").isNotNull())
-    reader = reader_tables(words, **options) if reader is None else reader
-    sent = words.sparkSession.sparkContext.broadcast(reader)
+    return _noise(words, geometry, **options).select("doc_id", "page_no", "word_no", "kind")
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = sent.value
-        for b in batches:
-            known: dict[str, tuple[str, str] | None] = {}
-            at, found = [], []
-            for i, t in enumerate(b.column("text").to_pylist()):
-                if t not in known:
-                    known[t] = reader.kind(t)
-                if known[t]:
-                    at.append(i)
-                    found.append(known[t])
-            rows = pa.array(at, pa.int32())
-            cols = [b.column(c).take(rows) for c in ("doc_id", "page_no", "word_no", "top")]
-            yield pa.RecordBatch.from_arrays(
-                [*cols, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.string())], ["doc_id", "page_no", "word_no", "top", "kind", "part"]
-            )
 
-    texts = words.where(F.length("text") > 0).select(
-        F.col("doc_id").cast("long"), F.col("page_no").cast("int"), F.col("word_no").cast("int"), F.col("top").cast("double"), "text"
-    )
-    judged = cut(texts.mapInArrow(judge, "doc_id long, page_no int, word_no int, top double, kind string, part string"))
-    pairs = sorted((p, r) for p, rests in reader.rests.items() for r in rests)
-    rests = words.sparkSession.createDataFrame(pairs, "part string, rest string")
-    # A part is one of a broken word if what is left of a usual word stands on its page or the next.
-    maybe = judged.where("kind = 'broken'").join(rests, "part").select("doc_id", "page_no", "word_no", "top", "rest")
-    tails = judged.where("kind = 'tail'").select("doc_id", F.col("page_no").alias("_page"), F.col("top").alias("_top"), F.col("part").alias("rest"))
-    after = ((F.col("_page") == F.col("page_no")) & (F.abs(F.col("_top") - F.col("top")) > 3)) | (F.col("_page") == F.col("page_no") + 1)
-    broken = maybe.join(tails, ["doc_id", "rest"]).where(after).select("doc_id", "page_no", "word_no", F.lit("hyphen").alias("kind"))
-    body = judged.where("kind = 'misread'").select("doc_id", "page_no", "word_no", "kind").unionByName(broken)
-    edge = furniture_words(words, geometry).withColumn("kind", F.lit("furniture"))
+def _noise(words: DataFrame, geometry: DataFrame | None, **options: float) -> DataFrame:
+    """``noisy_words`` with the ``repaired`` text of the misread."""
+    words = words.where(F.col("doc_id").isNotNull() & F.col("page_no").isNotNull() & F.col("word_no").isNotNull())
+    words = words.withColumns({"doc_id": F.col("doc_id").cast("long"), "page_no": F.col("page_no").cast("int"), "word_no": F.col("word_no").cast("int"), "top": F.col("top").cast("double")})
+    reading = Reading(words, **options)
+    none = F.lit(None).cast("string")
+    body = misread_words(words, reading.repairs).withColumn("kind", F.lit("misread"))
+    broken = broken_words(words, reading.counts).select("*", none.alias("repaired"), F.lit("hyphen").alias("kind"))
+    edge = furniture_words(words, geometry, *reading.known.values).select("*", none.alias("repaired"), F.lit("furniture").alias("kind"))
     # "furniture" < "hyphen" < "misread" in this order too.
-    return edge.unionByName(body).groupBy("doc_id", "page_no", "word_no").agg(F.min("kind").alias("kind"))
+    noise = edge.unionByName(broken).unionByName(body).groupBy("doc_id", "page_no", "word_no").agg(F.min(F.struct("kind", "repaired")).alias("_k"))
+    return noise.select("doc_id", "page_no", "word_no", "_k.kind", "_k.repaired")
 
 
 _GLUE = "\x1f"  # stands at the end of a line whose last word goes on
@@ -341,30 +502,16 @@ def _spaced(before: Column, after: Column) -> Column:
     return F.when(bare, F.lit("")).otherwise(F.lit(" "))
 
 
-def repaired_words(words: DataFrame, geometry: DataFrame | None = None, **options: int) -> DataFrame:
+def repaired_words(words: DataFrame, geometry: DataFrame | None = None, **options: float) -> DataFrame:
     """The distinct words of the body with ``doc_id, page_no, word_no, text, x0, x1, top, bottom``: running titles and page numbers are gone,
     misread characters put right, and broken words end in a joining mark in place of the hyphen."""
-    reader = reader_tables(words, **options)
-    noise = noisy_words(words, geometry, reader)
-    body = clean_words(words).join(noise, ["doc_id", "page_no", "word_no"], "left").where(~F.col("kind").eqNullSafe("furniture"))
-    sent = words.sparkSession.sparkContext.broadcast(reader)
-
-    def repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = sent.value
-        for b in batches:
-            texts = []
-            for t, kind in zip(b.column("text").to_pylist(), b.column("kind").to_pylist(), strict=True):
-                if kind is not None:
-                    t = reader.repaired(t[:-1]) + _GLUE if kind == "hyphen" else reader.repaired(t)
-                texts.append(t)
-            at = b.schema.get_field_index("text")
-            yield b.set_column(at, "text", pa.array(texts, pa.string())).drop_columns(["kind"])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in body.schema if f.name != "kind")
-    return body.mapInArrow(repair, schema)
+    body = clean_words(words).join(_noise(words, geometry, **options), ["doc_id", "page_no", "word_no"], "left").where(~F.col("kind").eqNullSafe("furniture"))
+    glued = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - 1), F.lit(_GLUE))
+    text = F.when(F.col("kind") == "hyphen", glued).otherwise(F.coalesce("repaired", "text"))
+    return body.withColumn("text", text).drop("kind", "repaired")
 
 
-def body_paragraphs(words: DataFrame, geometry: DataFrame, **options: int) -> DataFrame:
+def body_paragraphs(words: DataFrame, geometry: DataFrame, **options: float) -> DataFrame:
     """``doc_id, para_no, page_no, lvl, t``: each report's body as continuous paragraphs and headings, in reading order.
 
     Lines follow the baselines (which may waver), columns are read one after the other, and paragraphs that a column or page end cuts are

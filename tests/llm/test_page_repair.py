@@ -82,7 +82,7 @@ def test_titles_of_any_length(spark):
     rows = []
     for d in range(3):
         for p in range(1, 7):
-            rows += page(d, p, [misread if (d, p) == (1, 4) else title], [["正文"]], ["未完"])
+            rows += page(d, p, [misread if (d, p) == (1, 4) else title if p > 1 else f"首页{'天地玄'[d]}"], [["正文"]], ["未完"])
     rows += [(9, "02_丙", p, 1, "只此一份报告的长标题" * 6, 60.0, 90.0, 40.0, 50.0) for p in range(1, 4)]
     got = {(r.doc_id, r.page_no) for r in P.furniture_words(spark.createDataFrame(rows, WORD)).where("word_no = 1").collect()}
     assert got == {(d, p) for d in range(3) for p in range(2, 7)} | {(9, 2), (9, 3)}

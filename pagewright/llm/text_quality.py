@@ -2,7 +2,11 @@
 
 Statistics are computed for every document. A small model - gradient-boosted trees, one against the rest for prose, list, table and junk - is
 trained on a bounded sample of weakly labelled documents (labelling rules on their structure, and structural junk made from their own
-sentences), its scores are calibrated on a hand-checked holdout, and every document gets the likeliest kind.
+sentences), its scores are calibrated on a hand-checked holdout that the sample leaves out by id and by text, and every document gets the
+likeliest kind. Texts stay on the executors: the driver sees the sample's statistics only.
+
+A word is an ideograph, a run of letters or a number, in every statistic; what is common is told by pairs of neighbouring ideographs and by
+runs of letters.
 """
 
 from __future__ import annotations
@@ -20,17 +24,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .boosting import BoostedTrees, platt
-from .textform import simplified_script, visual_form
+from .textform import digest, simplified_script, visual_form
 
 KINDS = ("prose", "list", "table", "junk")
 #: Statistics that the model sees, in this order.
 FEATURES = (
-    "mean_word_len", "symbol_share", "line_end_share", "common_share", "digit_share", "han_share", "latin_share", "odd_share", "stops",
+    "mean_word_len", "run_len", "symbol_share", "line_end_share", "common_share", "digit_share", "han_share", "latin_share", "odd_share", "stops",
     "item_share", "cell_share", "noise_share", "short_share", "line_len", "listing", "leader_share", "lone_share", "repeat_share",
     "sentence_share", "commas", "number_share", "stop_first",
 )
-_STAT = "doc_id long not null, n_words int not null, " + ", ".join(f"{f} double not null" for f in FEATURES)
+_STAT = "doc_id long not null, text_id string not null, n_words int not null, " + ", ".join(f"{f} double not null" for f in FEATURES)
 
 _HAN = "㐀-鿿豈-﫿\U00020000-\U0002ffff"
 _HAN_RUN = re.compile(f"[{_HAN}]+")
@@ -63,22 +68,39 @@ def _cells(line: str) -> bool:
     return len(parts) >= 3 and all(_NUMBER.match(p) for p in parts[-2:])
 
 
-def pairs_of(text: str) -> list[str]:
+def pairs_of(text: str, han_runs: list[str] | None = None) -> list[str]:
     """What counts as words where none are marked: neighbouring ideographs; and the words of other scripts."""
-    found = [r[i : i + 2] for r in _HAN_RUN.findall(text) for i in range(len(r) - 1)]
+    found = [r[i : i + 2] for r in (_HAN_RUN.findall(text) if han_runs is None else han_runs) for i in range(len(r) - 1)]
     return found + [w for w in _LATIN_RUN.findall(text.casefold()) if len(w) > 1]
 
 
+def in_one_script(text: str, script: dict[int, str]) -> str:
+    """The one visual form of a text, in simplified characters; most texts hold none that would change."""
+    text = visual_form(text)
+    return text.translate(script) if script and not text.isascii() and _other_script(len(script), tuple(script)).search(text) else text
+
+
+@lru_cache(maxsize=2)
+def _other_script(n: int, codes: tuple[int, ...]) -> re.Pattern[str]:
+    return re.compile("[" + "".join(map(chr, codes)) + "]")
+
+
+def text_digest(text: str) -> str:
+    """What a text is known by in the holdout: equal for texts that look the same."""
+    return digest(visual_form(text)).hex()
+
+
 def statistics(raw: str, common: frozenset[str], script: dict[int, str]) -> tuple[int, list[float]]:
     """The number of words (each ideograph, each run of letters, each number) and the values of ``FEATURES``."""
-    text = visual_form(raw).translate(script)
+    text = in_one_script(raw, script)
     n = max(1, len(text) - text.count("\n"))
     han_runs = _HAN_RUN.findall(text)
     words = _LATIN_RUN.findall(text)
     han = sum(map(len, han_runs))
     latin = sum(map(len, words))
-    numbers = len(_NUMBER_CELL.findall(text))
-    pairs = pairs_of(text)
+    numbers = _NUMBER_CELL.findall(text)
+    n_words = han + len(words) + len(numbers)
+    pairs = pairs_of(text, han_runs)
     lines = [s for s in text.split("\n") if s.strip()] or [""]
     sizes = [len(s) for s in lines]
     total = max(1, sum(sizes))
@@ -97,11 +119,12 @@ def statistics(raw: str, common: frozenset[str], script: dict[int, str]) -> tupl
     spans = [len(p) for p in _STOP.split(flat)]
     in_sentence = sum(p for p in spans[:-1] if 10 <= p <= 400)
     tokens = text.split()
-    return han + len(words) + numbers, [
+    return n_words, [
+        (han + latin + sum(map(len, numbers))) / max(1, n_words),
         (han + latin) / max(1, len(han_runs) + len(words)),
         len(_SYMBOL.findall(text)) / n,
         ended / len(lines),
-        sum(p in common for p in pairs) / max(1, han + len(words)),
+        sum(map(common.__contains__, pairs)) / max(1, han + len(words)),
         len(_DIGIT.findall(text)) / n,
         han / n,
         latin / n,
@@ -168,51 +191,62 @@ def structural_junk(texts: list[str], seed: int = 7) -> list[tuple[str, str]]:
     return out
 
 
-def common_words(texts: DataFrame, top: int = 20_000) -> list[str]:
-    """The ``top`` most frequent words (pairs of ideographs, words of other scripts) in lines with stops, counted over all texts. Each task
-    counts its batches first."""
+def common_words(texts: DataFrame, least_share: float = 5e-6) -> list[str]:
+    """The words (pairs of ideographs, words of other scripts) that make up at least ``least_share`` of all, and occur twice, in lines with stops,
+    counted over all texts. There are at most ``1 / least_share`` of them, whatever the corpus. Each task counts its batches first."""
     script = simplified_script(texts.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             counts: Counter[str] = Counter()
             for t in b.column("text").to_pylist():
-                for line in visual_form(t).translate(script).split("\n"):
-                    if len(line) >= 15 and _STOP.search(line, 12):
-                        counts.update(pairs_of(line))
+                lines = in_one_script(t, script).split("\n")
+                counts.update(pairs_of("\n".join([s for s in lines if len(s) >= 15 and _STOP.search(s, 12)])))
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
-    counted = texts.select("text").mapInArrow(count, "word string not null, n long not null").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r[0] for r in counted.where("n > 1").orderBy(F.desc("n"), "word").limit(top).collect()]
+    counted = cut(texts.select("text").mapInArrow(count, "word string not null, n long not null").groupBy("word").agg(F.sum("n").alias("n")))
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    return sorted(r[0] for r in counted.where(F.col("n") >= max(2.0, total * least_share)).select("word").collect())
 
 
 def _texts(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
     return df.where((F.length(text_col) > 0) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
 
-def quality_statistics(df: DataFrame, text_col: str = "mtext", id_col: str = "doc_id", top_words: int = 20_000) -> DataFrame:
-    """``doc_id, n_words`` and ``FEATURES`` of each non-empty text; a row repeated (a record delivered twice) gives one row.
-
-    Null and empty texts and rows without id give none; a text of blanks only has zero shares; an empty table gives an empty result.
-    """
-    texts = _texts(df, text_col, id_col)
-    common = frozenset(common_words(texts, top_words))  # at most top_words entries
-    script = simplified_script(df.sparkSession)
+def _statistics(texts: DataFrame, common: frozenset[str], script: dict[int, str]) -> DataFrame:
+    sent = texts.sparkSession.sparkContext.broadcast((common, script))  # bounded: see common_words, and one block of characters
 
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, script = sent.value
         for b in batches:
-            rows = [statistics(t, common, script) for t in b.column("text").to_pylist()]
-            cols = [b.column("doc_id"), pa.array([r[0] for r in rows], pa.int32())]
+            texts = b.column("text").to_pylist()
+            rows = [statistics(t, common, script) for t in texts]
+            cols = [b.column("doc_id"), pa.array([text_digest(t) for t in texts], pa.string()), pa.array([r[0] for r in rows], pa.int32())]
             cols += [pa.array([r[1][j] for r in rows], pa.float64()) for j in range(len(FEATURES))]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", *FEATURES])
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "text_id", "n_words", *FEATURES])
 
     return texts.mapInArrow(stats, _STAT).distinct()
 
 
+def quality_statistics(df: DataFrame, text_col: str = "mtext", id_col: str = "doc_id", least_share: float = 5e-6) -> DataFrame:
+    """``doc_id, text_id, n_words`` and ``FEATURES`` of each non-empty text; a row repeated (a record delivered twice) gives one row.
+
+    Null and empty texts and rows without id give none; a text of blanks only has zero shares; an empty table gives an empty result.
+    """
+    texts = _texts(df, text_col, id_col)
+    return _statistics(texts, frozenset(common_words(texts, least_share)), simplified_script(df.sparkSession))
+
+
 @lru_cache(maxsize=1)
-def holdout() -> tuple[np.ndarray, np.ndarray]:
-    """Statistics and kinds of the hand-checked records."""
-    rows = json.loads((Path(__file__).parent / "quality_holdout.json").read_text("utf-8"))
+def holdout() -> list[dict]:
+    """The hand-checked records: where each stands (``table, doc_id``), its ``text_id``, ``kind``, statistics ``x``, and its ``use``: ``calibrate``, or
+    ``test`` for those that nothing but the tests look at."""
+    return json.loads((Path(__file__).parent / "quality_holdout.json").read_text("utf-8"))
+
+
+def checked(use: str) -> tuple[np.ndarray, np.ndarray]:
+    """Statistics and kinds of the holdout's records of a use."""
+    rows = [r for r in holdout() if r["use"] == use]
     return np.array([r["x"] for r in rows], float), np.array([KINDS.index(r["kind"]) for r in rows])
 
 
@@ -229,46 +263,58 @@ class QualityModel:
         return p / p.sum(1, keepdims=True)
 
 
-def train(df: DataFrame, text_col: str, id_col: str, common: frozenset[str], script: dict[int, str], train_rows: int = 2000, made_rows: int = 60) -> QualityModel:
-    """A model from at most ``train_rows`` records (the first by a hash of their id) that carry a weak label, and junk made from
-    ``made_rows`` of them."""
-    sample = _texts(df, text_col, id_col).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows).select("text").collect()
-    x, y, prose = [], [], []
-    for (t,) in sample:
-        f = statistics(t, common, script)[1]
-        label = weak_label(dict(zip(FEATURES, f, strict=True)))
-        if label:
-            x.append(f)
-            y.append(KINDS.index(label))
-            if label == "prose" and len(prose) < made_rows:
-                prose.append(t)
-    for label, t in structural_junk(prose):
-        x.append(statistics(t, common, script)[1])
-        y.append(KINDS.index(label))
-    if not x:  # nothing to learn from: the hand-checked rows alone
-        return QualityModel(*holdout(), holdout())
-    return QualityModel(np.array(x, float), np.array(y), holdout())
-
-
-def quality_kinds(df: DataFrame, text_col: str = "mtext", id_col: str = "doc_id", top_words: int = 20_000, train_rows: int = 2000) -> DataFrame:
-    """``doc_id, n_words``, ``FEATURES``, ``p_prose`` and ``kind`` of each non-empty text (distinct rows); see ``quality_statistics``."""
+def training_rows(texts: DataFrame, stats: DataFrame, common: frozenset[str], script: dict[int, str], train_rows: int = 2000, made_rows: int = 60) -> list[tuple[str, list[float]]]:
+    """Weak label and statistics of about ``train_rows`` records (those with the smallest hashes of their ids), and of junk made from about
+    ``made_rows`` texts of prose. The holdout's records, and texts that look like one of them, are no training rows. Texts are read and junk is
+    made on the executors."""
+    held_ids, held_texts = sorted({r["doc_id"] for r in holdout()}), sorted({r["text_id"] for r in holdout()})
+    n = max(1, stats.count())
+
+    def first(df: DataFrame, rows: int) -> DataFrame:
+        bound = min(2**63 - 1, int(2**64 * rows / n) - 2**63)
+        return df.where((F.xxhash64("doc_id") <= F.lit(bound)) & ~F.col("doc_id").isin(held_ids))
+
+    sample = first(stats, train_rows).where(~F.col("text_id").isin(held_texts)).select(*FEATURES).limit(2 * train_rows).collect()
+    rows = [(label, list(r)) for r in sample if (label := weak_label(r.asDict()))]
+    sent = texts.sparkSession.sparkContext.broadcast((common, script))
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, script = sent.value
+        for b in batches:
+            made = []
+            for doc_id, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+                f = statistics(t, common, script)[1]
+                if text_digest(t) not in held_texts and weak_label(dict(zip(FEATURES, f, strict=True))) == "prose":
+                    made += [(label, statistics(j, common, script)[1]) for label, j in structural_junk([t], seed=doc_id)]
+            yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.list_(pa.float64()))], ["label", "x"])
+
+    made = first(texts, 2 * made_rows).distinct().mapInArrow(make, "label string, x array<double>").collect()
+    return sorted(rows + [(r[0], list(r[1])) for r in made])
+
+
+def train(rows: list[tuple[str, list[float]]]) -> QualityModel:
+    """A model from training rows, calibrated on the holdout."""
+    if not rows:  # nothing to learn from: the hand-checked rows alone
+        return QualityModel(*checked("calibrate"), checked("calibrate"))
+    return QualityModel(np.array([x for _, x in rows], float), np.array([KINDS.index(k) for k, _ in rows]), checked("calibrate"))
+
+
+def quality_kinds(df: DataFrame, text_col: str = "mtext", id_col: str = "doc_id", least_share: float = 5e-6, train_rows: int = 2000) -> DataFrame:
+    """``doc_id, text_id, n_words``, ``FEATURES``, ``p_prose`` and ``kind`` of each non-empty text (distinct rows); see ``quality_statistics``."""
     texts = _texts(df, text_col, id_col)
-    common = frozenset(common_words(texts, top_words))
+    common = frozenset(common_words(texts, least_share))
     script = simplified_script(df.sparkSession)
-    model = train(df, text_col, id_col, common, script, train_rows)
-    sent = df.sparkSession.sparkContext.broadcast((model, common, script))  # bounded: trees, top_words words, one block of characters
+    stats = cut(_statistics(texts, common, script))  # some numbers a text
+    sent = df.sparkSession.sparkContext.broadcast(train(training_rows(texts, stats, common, script, train_rows)))  # trees of a fixed size
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, common, script = sent.value
+        model = sent.value
         for b in batches:
-            rows = [statistics(t, common, script) for t in b.column("text").to_pylist()]
-            x = np.array([r[1] for r in rows], float).reshape(len(rows), len(FEATURES))
+            x = np.stack([b.column(f).to_numpy() for f in FEATURES], 1)
             p = model.probabilities(x)
-            cols = [b.column("doc_id"), pa.array([r[0] for r in rows], pa.int32()), *[pa.array(x[:, j]) for j in range(len(FEATURES))]]
-            cols += [pa.array(p[:, 0]), pa.array([KINDS[k] for k in p.argmax(1)], pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", *FEATURES, "p_prose", "kind"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p[:, 0]), pa.array([KINDS[k] for k in p.argmax(1)], pa.string())], [*b.schema.names, "p_prose", "kind"])
 
-    return texts.mapInArrow(judge, _STAT + ", p_prose double not null, kind string not null").distinct()
+    return stats.mapInArrow(judge, _STAT + ", p_prose double not null, kind string not null")
 
 
 def not_prose(df: DataFrame, text_col: str = "mtext", id_col: str = "doc_id", **options: int) -> DataFrame:

@@ -9,12 +9,11 @@ pooled and packed again, so the number of shards costs next to nothing.
 from __future__ import annotations
 
 import base64
-import importlib.util
 import math
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from functools import lru_cache
-from pathlib import Path
+from itertools import combinations
 
 import pandas as pd
 import pyarrow as pa
@@ -25,26 +24,25 @@ from ..session import cut
 from .textform import per_distinct
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+#: Fixed value: how that tokenizer cuts a text before it merges.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _PACKED = "profile string, doc_id long, part_no int, n_tokens long, container string, fill long"
 
 
 @lru_cache(maxsize=2)
-def _encoding(path: str):
+def _encoding(path: str, pattern: str):
     import tiktoken
 
-    spec = importlib.util.spec_from_file_location("_tokenizer_files", Path(path).resolve().parent / "__init__.py")
-    files = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(files)
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("own", pat_str=files.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_sizes(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", tokenizer: str = TOKENIZER) -> DataFrame:
-    """``doc_id, n_tokens`` of each non-empty text; ``tokenizer`` is the path of a ``.tiktoken`` file on every node."""
+def token_sizes(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", tokenizer: str = TOKENIZER, pattern: str = PATTERN) -> DataFrame:
+    """``doc_id, n_tokens`` of each non-empty text; ``tokenizer`` is the path of a ``.tiktoken`` file on every node, ``pattern`` its way to cut texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(tokenizer).encode_ordinary
+        encode = _encoding(tokenizer, pattern).encode_ordinary
         for b in batches:
             n = per_distinct(b.column("text"), lambda t: len(encode(t)), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), n], ["doc_id", "n_tokens"])
@@ -71,74 +69,80 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], sizes: list[int], capacity: int, passes: int = 6) -> list[list[int]]:
-    """Containers after moves and swaps between underfull ones. Every step makes a container at least as full as its partner fuller, so the
-    sum of squared fills rises and the search ends; containers that run empty are dropped."""
-    load = [sum(sizes[i] for i in b) for b in bins]
-    for _ in range(passes):
-        changed = False
-        under = sorted((k for k in range(len(bins)) if bins[k] and load[k] < capacity), key=lambda k: (-load[k], k))
-        donors = sorted(under[len(under) // 2 :], key=lambda k: (load[k], k))
-        pool = sorted((sizes[i], i, k) for k in donors for i in bins[k])
-        gone: set[int] = set()
-
-        def largest(limit: int, above: int, target: int, pool=pool, gone=gone) -> tuple[int, int, int] | None:
-            """The largest donated item of at most ``limit`` and more than ``above`` from a container no fuller than the target."""
-            at = bisect_right(pool, (limit, 1 << 60, 0)) - 1
-            tries = 0
-            while at >= 0 and pool[at][0] > above and tries < 40:
-                s, i, k = pool[at]
-                if i not in gone and k != target and load[k] <= load[target]:
-                    return pool[at]
-                at -= 1
-                tries += 1
-            return None
-
-        for t in under:
-            free = capacity - load[t]
-            if not free or not bins[t]:
-                continue
-            best, step = 0, None
-            hit = largest(free, 0, t)
-            if hit:
-                best, step = hit[0], ((), hit)
-            if best < free:
-                for a in bins[t]:  # one for one
-                    if a in gone:
-                        continue
-                    hit = largest(sizes[a] + free, sizes[a] + best, t)
-                    if hit and hit[0] - sizes[a] > best:
-                        best, step = hit[0] - sizes[a], ((a,), hit)
-                        if best == free:
-                            break
-            if best < free and len(bins[t]) > 1:
-                own = sorted(bins[t], key=lambda i: sizes[i])[:6]
-                for x in range(len(own)):  # two for one
-                    for y in range(x + 1, len(own)):
-                        pair = sizes[own[x]] + sizes[own[y]]
-                        if own[x] in gone or own[y] in gone:
-                            continue
-                        hit = largest(pair + free, pair + best, t)
-                        if hit and hit[0] - pair > best:
-                            best, step = hit[0] - pair, ((own[x], own[y]), hit)
-            if step:
-                out, (s, i, k) = step
-                back = sum(sizes[a] for a in out)
-                if load[k] - s + back > capacity:
+class _Search:
+    """Containers under search. ``pool`` has the items of all open containers in order of size; those fuller than the one being filled are closed."""
+
+    def __init__(self, bins: list[list[int]], sizes: list[int], capacity: int):
+        self.bins, self.sizes, self.capacity = bins, sizes, capacity
+        self.load = [sum(sizes[i] for i in b) for b in bins]
+        self.home = {i: k for k, b in enumerate(bins) for i in b}
+        self.pool: list[tuple[int, int]] = []
+
+    def run(self) -> None:
+        changed = True
+        while changed:
+            changed = False
+            order = sorted((k for k, b in enumerate(self.bins) if b and self.load[k] < self.capacity), key=lambda k: (-self.load[k], k))
+            self.pool = sorted((self.sizes[i], i) for k in order for i in self.bins[k])
+            for t in order:
+                for i in self.bins[t]:
+                    self.pool.pop(bisect_left(self.pool, (self.sizes[i], i)))
+                # All open containers are emptier than this one, or are made emptier by its own steps.
+                while self.load[t] < self.capacity and self.bins[t] and self.step(t):
+                    changed = True
+
+    def largest(self, limit: int, above: int, most: int) -> int | None:
+        """The largest open item of at most ``limit`` and more than ``above`` that stands in a container with a load of at most ``most``."""
+        at = bisect_right(self.pool, (limit, len(self.sizes))) - 1
+        while at >= 0 and self.pool[at][0] > above:
+            if self.load[self.home[self.pool[at][1]]] <= most:
+                return self.pool[at][1]
+            at -= 1
+        return None
+
+    def step(self, t: int) -> bool:
+        """The best of all moves, exchanges one for one and two for one into a container: the one that fills most of its space."""
+        sizes, free, most = self.sizes, self.capacity - self.load[t], self.load[t]
+        best, out, hit = 0, (), self.largest(free, 0, most)
+        if hit is not None:
+            best = sizes[hit]
+        for n in (1, 2):
+            if best == free:
+                break
+            tried = set()
+            for given in combinations(self.bins[t], n):
+                s = sum(sizes[a] for a in given)
+                if s in tried:
                     continue
-                bins[k].remove(i)
-                for a in out:
-                    bins[t].remove(a)
-                    bins[k].append(a)
-                    gone.add(a)
-                bins[t].append(i)
-                gone.add(i)
-                load[k] += back - s
-                load[t] += s - back
-                changed = True
-        if not changed:
-            break
-    return [b for b in bins if b]
+                tried.add(s)
+                other = self.largest(s + free, s + best, most)
+                if other is not None:
+                    best, out, hit = sizes[other] - s, given, other
+                    if best == free:
+                        break
+        if not best:
+            return False
+        k, back = self.home[hit], sum(sizes[a] for a in out)
+        self.pool.pop(bisect_left(self.pool, (sizes[hit], hit)))
+        self.bins[k].remove(hit)
+        self.bins[t].append(hit)
+        self.home[hit] = t
+        for a in out:
+            self.bins[t].remove(a)
+            self.bins[k].append(a)
+            self.home[a] = k
+            insort(self.pool, (sizes[a], a))
+        self.load[t] += sizes[hit] - back
+        self.load[k] += back - sizes[hit]
+        return True
+
+
+def local_search(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list[int]]:
+    """Containers after moves and swaps between underfull ones, until none is left that helps. Every step takes from a container that is at most as
+    full, so the sum of squared fills rises and the search ends; containers that run empty are dropped."""
+    search = _Search([list(b) for b in bins], sizes, capacity)
+    search.run()
+    return [b for b in search.bins if b]
 
 
 def pack(sizes: list[int], capacity: int) -> list[list[int]]:

@@ -1,5 +1,6 @@
 """Containers: capacity, completeness, little waste."""
 
+import itertools
 import random
 from collections import Counter, defaultdict
 
@@ -28,6 +29,29 @@ def test_search_never_loses_fill():
     assert sum(sizes) / (100 * len(after)) > 0.98
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(20, 70), min_size=10, max_size=60))
+def test_search_ends_where_no_step_helps(sizes):
+    """Every move and exchange, one for one and two for one, into a fuller container from a less full one is tried by hand."""
+    bins = K.local_search(K.best_fit(sizes, 100), sizes, 100)
+    load = [sum(sizes[i] for i in b) for b in bins]
+    for t, given_from in enumerate(bins):
+        for k, taken_from in enumerate(bins):
+            if load[t] > load[k]:
+                for n in (0, 1, 2):
+                    for out in itertools.combinations(given_from, n):
+                        for i in taken_from:
+                            gain = sizes[i] - sum(sizes[a] for a in out)
+                            assert not 0 < gain <= 100 - load[t]
+
+
+def test_search_empties_containers():
+    rnd = random.Random(1)
+    sizes = [rnd.randint(300, 800) for _ in range(2000)]
+    first = K.best_fit(sizes, 2048)
+    assert len(K.local_search(first, sizes, 2048)) < len(first)
+
+
 def test_operator(spark):
     rnd = random.Random(4)
     sizes = {d: rnd.choice([0, rnd.randint(1, 900), rnd.randint(1, 900), 2450]) for d in range(700)}

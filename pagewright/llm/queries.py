@@ -35,8 +35,8 @@ def p2_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_classes(spark: SparkSession, d: str) -> DataFrame:
-    classes = visual_form.visual_classes(table(spark, d, "section_record"), ["ctext", "mtext"])
-    return classes.select("doc_id", "field", F.hex("class_id").alias("class_id"), F.hex("text_id").alias("text_id"))
+    classes = visual_form.linked_classes(table(spark, d, "section_record"), ["ctext", "mtext"])
+    return classes.select("doc_id", "field", *[F.hex(c).alias(c) for c in ("fold_id", "class_id", "text_id")], "n_links")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

@@ -64,9 +64,14 @@ def visual_form(text: str) -> str:
     return _ODD_SPACE.sub(" ", composed(text))
 
 
+def fold(form: str) -> str:
+    """Full case folding of a text that is in its visual form: a key for comparisons that ignore case."""
+    return unicodedata.normalize("NFC", form.casefold())
+
+
 def folded_form(text: str) -> str:
-    """``visual_form`` with full case folding: a key for comparisons that ignore case."""
-    return unicodedata.normalize("NFC", visual_form(text).casefold())
+    """``visual_form`` with full case folding."""
+    return fold(visual_form(text))
 
 
 def letters_form(text: str) -> str:

@@ -47,6 +47,17 @@ def test_pairs_are_those_of_brute_force(spark):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_links_are_those_of_brute_force(spark):
+    texts = ["ＡＢ", "AB", "ab", "AB", "A​B", None, "", "丙", "丙"] + ["hot"] * 30 + ["ｈot"] * 20 + ["HOT"] * 5
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(1, "AB", 1)], "doc_id long, ctext string, n_links int")
+    got = {r.doc_id: r for r in V.linked_classes(df, ["ctext"]).collect()}
+    assert len(got) == len(texts) - 2
+    for i, r in got.items():
+        assert r.n_links == sum(bool(t) and visual_form(t) == visual_form(texts[i]) and t != texts[i] for t in texts)
+    assert len({r.fold_id for r in got.values()}) == 3 and len({r.class_id for r in got.values()}) == 5
+    assert V.linked_classes(df.where("false"), ["ctext"]).count() == 0
+
+
 def test_forms_and_empty_table(spark):
     df = spark.createDataFrame([(1, "Ａ", None), (2, None, "")], "doc_id long, ctext string, mtext string")
     assert [tuple(r) for r in V.visual_forms(df, ["ctext", "mtext"]).collect()] == [(1, "ctext", "A", "a")]

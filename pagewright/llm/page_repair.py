@@ -31,6 +31,7 @@ from ..functions import patterns as P
 from ..operators.layout import clean_words, column_cuts
 from ..operators.reflow import paragraph_starts
 from ..session import cut
+from .membership import Bits, key_bits, may_match
 from .textform import composed, simplified_script
 
 #: Marks that break a word at the end of a line (fixed values).
@@ -224,21 +225,32 @@ def repairs(texts: DataFrame, known: Confusable, fixes: DataFrame) -> DataFrame:
 
     An unmarked character is misread if all but one of the windows around it say so (where two errors meet, one of them is seen in none).
     """
+    known_grams = F.concat("kind", "gram")
+    sent = texts.sparkSession.sparkContext.broadcast(Bits(key_bits(fixes, F.xxhash64(known_grams), fixes.count())))  # of a fixed size
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = re.compile(f"[{known.letters}]") if known.letters else None
+        fixed, met = sent.value, {}
+
+        def may(gram: str) -> bool:
+            found = met.get(gram)
+            if found is None:
+                found = met[gram] = gram in fixed
+            return found
+
         for b in batches:
+            met.clear()
             rows: list[tuple[str, int, int, str, str]] = []
             for text in b.column("text").to_pylist():
                 if known.in_han and not text.isascii():
                     plain = text.translate(_DIGITS)
                     for m in known.in_han.finditer(plain):
                         i = m.start()
-                        rows += [(text, i, i - k, _THREE, plain[k : k + 3]) for k in (i - 2, i - 1, i) if k >= 0 and k + 3 <= len(plain)]
+                        rows += [(text, i, i - k, _THREE, plain[k : k + 3]) for k in (i - 2, i - 1, i) if k >= 0 and k + 3 <= len(plain) and may(_THREE + plain[k : k + 3])]
                 if known.in_words:
-                    rows += [(text, i, 0, _WORD, t) for i, t in _words(text) if known.in_words.search(t) and not t.isdigit()]
+                    rows += [(text, i, 0, _WORD, t) for i, t in _words(text) if known.in_words.search(t) and not t.isdigit() and may(_WORD + t)]
                 if letters:
-                    rows += [(text, i, 0, _MIXED, t) for i, t in _figures(text) if letters.search(t)]
+                    rows += [(text, i, 0, _MIXED, t) for i, t in _figures(text) if letters.search(t) and may(_MIXED + t)]
             cols = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["text", "at", "off", "kind", "gram"])
@@ -285,7 +297,8 @@ class Reading:
         texts = cut(words.where(F.length("text") > 0).groupBy("text").agg(F.count(F.lit(1)).alias("n")))
         self.counts = cut(word_counts(texts))
         self.known, rows = confusable(self.counts, least=least, times=times, **learning)
-        self.repairs = cut(repairs(texts, self.known, corrections(self.counts, self.known, rows, least, times)))
+        fixes = cut(corrections(self.counts, self.known, rows, least, times))
+        self.repairs = cut(repairs(texts, self.known, fixes))
 
 
 def page_sizes(words: DataFrame, geometry: DataFrame | None = None) -> DataFrame:
@@ -435,14 +448,17 @@ def broken_words(words: DataFrame, counts: DataFrame, usual_least: int = 5) -> D
     """
     w = words.where(F.length("text") > 0).select("doc_id", "page_no", "word_no", "text", "x0", "x1", "top")
     part = F.lower(F.regexp_extract("text", _BROKEN, 1))
-    marked = w.select("doc_id", "page_no", "word_no", "top", part.alias("part")).where("part <> ''").distinct()
+    ends = w.where(F.right("text", F.lit(1)).isin(*BREAK_MARKS))
+    marked = ends.select("doc_id", "page_no", "word_no", "top", part.alias("part")).where("part <> ''").distinct()
     kept = counts.where((F.col("kind") == _JOINED) & (F.col("n") >= 3)).select(F.lower(F.regexp_extract("gram", "^[^-]+", 0)).alias("part")).distinct()
-    marked = marked.join(kept.hint("merge"), "part", "left_anti")
+    marked = cut(marked.join(kept.hint("merge"), "part", "left_anti"))
     near = marked.select("doc_id", "page_no", "word_no", "top", "part", F.explode(F.array(F.col("page_no"), F.col("page_no") + 1)).alias("_page"))
-    pages = near.select("doc_id", F.col("_page").alias("page_no")).distinct()
+    pages = cut(near.select("doc_id", F.col("_page").alias("page_no")).distinct())
     row = F.bround(F.col("top") / 3)
     along = Window.partitionBy("doc_id", "page_no").orderBy(row, "x0", "word_no")
-    firsts = w.join(pages.hint("merge"), ["doc_id", "page_no"], "left_semi")
+    n_pages = pages.count()
+    place = F.xxhash64("doc_id", "page_no")
+    firsts = may_match(w, place, key_bits(pages, place, n_pages), n_pages).join(pages.hint("merge"), ["doc_id", "page_no"], "left_semi")
     apart = (F.lag(row).over(along) != row) | (F.col("x0") - F.lag("x1").over(along) > 8)
     firsts = firsts.withColumn("_starts", F.coalesce(apart, F.lit(True))).where("_starts")
     rest = F.regexp_extract("text", f"^[{_LETTER}0-9]*[{_LETTER}][{_LETTER}0-9]*", 0)
@@ -464,7 +480,9 @@ def misread_words(words: DataFrame, repairs: DataFrame, salts: int = 8) -> DataF
     def key(df: DataFrame) -> DataFrame:
         return df.withColumn("_a", F.xxhash64("text")).withColumn("_b", F.hash("text")).drop("text")
 
-    w = key(words.where(F.length("text") > 0).select("doc_id", "page_no", "word_no", "text")).withColumn("_s", F.pmod(F.xxhash64("doc_id", "page_no"), F.lit(salts)))
+    n = repairs.count()
+    w = may_match(words.where(F.length("text") > 0).select("doc_id", "page_no", "word_no", "text"), F.xxhash64("text"), key_bits(repairs, F.xxhash64("text"), n), n)
+    w = key(w).withColumn("_s", F.pmod(F.xxhash64("doc_id", "page_no"), F.lit(salts)))
     r = key(repairs).withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
     return w.join(r.hint("merge"), ["_a", "_b", "_s"]).select("doc_id", "page_no", "word_no", "repaired")
 

@@ -174,9 +174,10 @@ def structural_junk(texts: list[str], seed: int = 7) -> list[tuple[str, str]]:
         figures = [f"{rnd.random() * 9000:.2f}" if rnd.random() < 0.9 else rnd.choice(["", "–", "N/A"]) for _ in range(90)]
         marks = rnd.choice([["- "] * 99, ["• "] * 99, [f"{i}. " for i in range(1, 99)], [f"（{i}）" for i in range(1, 99)], [""] * 99])
         out.append(("list", opening + "\n".join(m + s for m, s in zip(marks, short, strict=False))))
-        out.append(("list", opening + "\n".join("、".join(short[i : i + 5]) for i in range(0, len(short) - 4, 5))))
+        comma, label = (", ", 24) if "".join(sentences).isascii() else ("、", 8)
+        out.append(("list", opening + "\n".join(comma.join(short[i : i + 5]) for i in range(0, len(short) - 4, 5))))
         sep = rnd.choice([" | ", ",", "\t", "\n"])
-        rows = [[short[i][:8], *figures[3 * i : 3 * i + 3]] for i in range(min(len(short), 30))]
+        rows = [[short[i][:label], *figures[3 * i : 3 * i + 3]] for i in range(min(len(short), 30))]
         edge = ("| ", " |") if sep == " | " else ("", "")
         out.append(("table", opening + "\n".join(edge[0] + sep.join(r) + edge[1] for r in rows)))
         mixed = list(" ".join("".join(sentences)))
@@ -263,7 +264,7 @@ class QualityModel:
         return p / p.sum(1, keepdims=True)
 
 
-def training_rows(texts: DataFrame, stats: DataFrame, common: frozenset[str], script: dict[int, str], train_rows: int = 2000, made_rows: int = 60) -> list[tuple[str, list[float]]]:
+def training_rows(texts: DataFrame, stats: DataFrame, common: frozenset[str], script: dict[int, str], train_rows: int = 2000, made_rows: int = 150) -> list[tuple[str, list[float]]]:
     """Weak label and statistics of about ``train_rows`` records (those with the smallest hashes of their ids), and of junk made from about
     ``made_rows`` texts of prose. The holdout's records, and texts that look like one of them, are no training rows. Texts are read and junk is
     made on the executors."""

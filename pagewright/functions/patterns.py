@@ -32,6 +32,8 @@ SECTION_NAMES = [
     "股份变动及股东情况", "优先股相关情况", "债券相关情况", "财务报告", "董事长致辞", "致股东的信", "致股东书",
 ]
 ALL_TITLES = sorted({*CHAIR_TERMS, *MDA_TERMS, *MAJOR_TITLES, *SECTION_NAMES})
+if len(ALL_TITLES) > 63:
+    raise ValueError("a page's titles are the bits of one number")
 
 # Lines with these characters cite a section rather than open it.
 CITING = "，。、（）()：;；,.參閱詳見請頁见"
@@ -57,6 +59,7 @@ FURNITURE = {
     "url": r"http|www\.",
     "continued": "上接第|下转第",
 }
+# The thirteenth form, a report's name with its year.
 REPORT_YEAR = "年度?[報报]"
 YEAR_FIGURES = r"\p{Nd}{4}|[〇零一二三四五六七八九]{4}"
 
@@ -74,3 +77,11 @@ RULE_LINES = [r"^[-*_]{3,}$", rf"^\|[{SPACE}\-:|]+\|$", rf"^\|[{SPACE}\-:|（()
 CHAIR_MENTION = "董事长致辞|董事長致辭|主席報告|致股东"
 MDA_MENTION = "管理层讨论与分析|管理層討論|董事会报告|業務回顧|经营情况讨论"
 NOT_FOUND = "【未找到该章节"
+
+# What a document says about itself, in this order.
+NOTES = (
+    "> **已做可读化重整**：PDF 断行并回整段；章节标题分层（`####` / `#####`）；页码/页眉/勾选框等页家具剔除；表格尽量还原为 Markdown 表格。",
+    "> **只保留中文**：港股年报为中英双语，双语双栏按栏位切分后**去除英文栏**；A股本即中文。",
+    "> 说明：A股年报通常无独立「董事长致辞」章节（多在「第三节 管理层讨论与分析」）；港股多在「主席報告 / 致股東」中。未找到的章节如实标注，绝不虚构。",
+    "> 局限：① 极少数「数据概览 / 图版」页为多表拼版，文字顺序可能错乱；② 含装饰性 logo 水印的页面（如华润电力部分年份），水印字母可能残留少量孤立字母行。遇此请以源 PDF 页码回查。",
+)

@@ -11,13 +11,13 @@ _SCRIPT: dict[str, dict[int, str]] = {}
 def simplified_script(spark: SparkSession) -> dict[int, str]:
     """Code point → simplified character: a few thousand entries at most (the ideographs of the basic block), whatever the data.
 
-    Empty where the session gives no access to its JVM; text then keeps its script.
+    A session without access to its JVM is an error: results would change in silence if text kept its script.
     """
     if "t2s" not in _SCRIPT:
         try:
             rules = spark._jvm.com.ibm.icu.text.Transliterator.getInstance("Traditional-Simplified")
-        except Exception:
-            return {}
+        except Exception as e:
+            raise RuntimeError("the table of simplified characters needs a session with access to its JVM") from e
         block = [chr(c) for c in range(0x3400, 0xA000)]
         other = rules.transliterate("\n".join(block)).split("\n")
         _SCRIPT["t2s"] = {ord(a): b for a, b in zip(block, other, strict=True) if a != b and len(b) == 1}

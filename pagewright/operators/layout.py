@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import patterns as P
+from ..session import cut
 from .tables import one_size
 
 LEAST_WORDS = 8
@@ -15,9 +16,10 @@ HAN_SHARE = 0.3
 
 
 def clean_words(words: DataFrame) -> DataFrame:
-    """Distinct words with text. Words drawn twice are one; null or empty text and words without a place are dropped."""
+    """Distinct words with text. Words drawn twice are one; null or empty text and words without a place are dropped. Equal words stand on one
+    page, so the one shuffle by page that all later steps share also brings them together."""
     w = words.select("doc_id", "page_no", "word_no", "text", "x0", "x1", "top", "bottom").where((F.length("text") > 0) & F.col("x0").isNotNull() & F.col("top").isNotNull())
-    return w.distinct()
+    return w.repartition("doc_id", "page_no").distinct()
 
 
 def column_cuts(words: DataFrame, geometry: DataFrame) -> DataFrame:
@@ -83,9 +85,13 @@ def column_choice(words: DataFrame, cuts: DataFrame) -> DataFrame:
 
 def in_columns(words: DataFrame, geometry: DataFrame, drop_english: bool = True) -> DataFrame:
     """The words that are read, with ``col_no``. Words across a cut are lost, as is a column that isn't kept; with ``drop_english`` off a page is
-    one column."""
+    one column.
+
+    The words are asked three times (for cuts, for the choice, for the reading), so they are written once.
+    """
     if not drop_english:
         return words.withColumn("col_no", F.lit(0))
+    words = cut(words)
     choice = column_choice(words, column_cuts(words, geometry)).select("doc_id", "page_no", "cut", "keep")
     w = words.join(choice, ["doc_id", "page_no"], "left")
     left, right = F.col("x1") <= F.col("cut"), F.col("x0") >= F.col("cut")

@@ -24,37 +24,37 @@ def body_lines(lines: DataFrame, drop_english: bool = True) -> DataFrame:
     return kept.where(~X.is_english(F.col("t"))) if drop_english else kept
 
 
+def measured(body: DataFrame) -> DataFrame:
+    """The lines of blocks with ``margin`` (the commonest left edge, rounded half to even, the first seen on ties), ``gap`` (the step from the line
+    before), ``med`` (the upper median of the block's steps, 1 without any) and ``thr`` (the step that parts paragraphs).
+
+    All by windows over the block, which share one partitioning; the median is found by rank, so no line carries its block's gaps.
+    """
+    block = Window.partitionBy(*_BLOCK)
+    order = block.orderBy("k")
+    seen = Window.partitionBy(*_BLOCK, "x")
+    body = body.withColumn("gap", F.col("k") - F.lag("k").over(order)).withColumn("x", F.bround("x0").cast("int"))
+    body = body.withColumn("_n", F.count(F.lit(1)).over(seen)).withColumn("_k", F.min("k").over(seen))
+    body = body.withColumn("margin", F.max_by("x", F.struct("_n", -F.col("_k"))).over(block)).withColumn("_m", F.floor(F.count("gap").over(block) / 2) + 1)
+    body = body.withColumn("_r", F.row_number().over(block.orderBy(F.asc_nulls_last("gap"))))
+    body = body.withColumn("med", F.coalesce(F.max(F.when(F.col("_r") == F.col("_m"), F.col("gap"))).over(block), F.lit(1)))
+    return body.withColumn("thr", F.greatest(F.col("med") + 3.0, F.col("med") * 1.5, F.lit(4.0))).drop("x", "_n", "_k", "_r", "_m")
+
+
 def margins(lines: DataFrame) -> DataFrame:
-    """``doc_id, page_no, col_no, margin``: the commonest left edge of a block's lines (rounded half to even), the first seen on ties."""
-    counts = lines.groupBy(*_BLOCK, F.bround("x0").cast("int").alias("x")).agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("k"))
-    return counts.groupBy(*_BLOCK).agg(F.max_by("x", F.struct("n", -F.col("k"))).alias("margin"))
+    """``doc_id, page_no, col_no, margin`` of each block, as ``measured``."""
+    return measured(lines).select(*_BLOCK, "margin").distinct()
 
 
 def gaps(lines: DataFrame) -> DataFrame:
-    """``doc_id, page_no, col_no, med, thr``: the upper median of the steps between lines (1 without any), and the step that parts paragraphs."""
-    step = F.col("k") - F.lag("k").over(Window.partitionBy(*_BLOCK).orderBy("k"))
-    d = lines.select(*_BLOCK, step.alias("d"))
-    steps = F.array_sort(F.collect_list("d"))
-    one = d.groupBy(*_BLOCK).agg(steps.alias("s"))
-    med = F.when(F.size("s") > 0, F.element_at("s", (F.floor(F.size("s") / 2) + 1).cast("int"))).otherwise(1)
-    return one.select(*_BLOCK, med.alias("med")).withColumn("thr", F.greatest(F.col("med") + 3.0, F.col("med") * 1.5, F.lit(4.0)))
+    """``doc_id, page_no, col_no, med, thr`` of each block, as ``measured``."""
+    return measured(lines).select(*_BLOCK, "med", "thr").distinct()
 
 
 def paragraph_starts(body: DataFrame) -> DataFrame:
     """The lines of blocks (``k, t, x0``) with ``lvl`` and the number of their paragraph."""
     order = Window.partitionBy(*_BLOCK).orderBy("k")
-    body = body.withColumn("lvl", X.heading_level(F.col("t")))
-    # Margin and gaps by windows over the block: everything here shares one partitioning.
-    seen = Window.partitionBy(*_BLOCK, "x")
-    block = Window.partitionBy(*_BLOCK)
-    body = body.withColumn("x", F.bround("x0").cast("int"))
-    body = body.withColumn("_n", F.count(F.lit(1)).over(seen)).withColumn("_k", F.min("k").over(seen))
-    body = body.withColumn("margin", F.max_by("x", F.struct("_n", -F.col("_k"))).over(block))
-    body = body.withColumn("gap", F.col("k") - F.lag("k").over(order))
-    # The upper median by rank, so no line carries its block's gaps.
-    body = body.withColumn("_r", F.row_number().over(block.orderBy(F.asc_nulls_last("gap")))).withColumn("_m", F.floor(F.count("gap").over(block) / 2) + 1)
-    med = F.coalesce(F.max(F.when(F.col("_r") == F.col("_m"), F.col("gap"))).over(block), F.lit(1))
-    body = body.withColumn("thr", F.greatest(med + 3.0, med * 1.5, F.lit(4.0)))
+    body = measured(body.withColumn("lvl", X.heading_level(F.col("t"))))
     head = F.col("lvl") > 0
     start = head | F.lag(head).over(order) | (F.col("x0") - F.col("margin") >= INDENT) | (F.col("gap") >= F.col("thr"))
     start = F.when(F.lag("k").over(order).isNull(), True).otherwise(F.coalesce(start, F.lit(False)))

@@ -50,12 +50,14 @@ def report_markdown(reports: DataFrame, ranges: DataFrame, sections: DataFrame,
         return F.when(F.col(f"{name}_start").isNull(), F.lit(missing)).otherwise(F.concat(F.lit("> 抽取范围："), pages(name), F.lit("\n\n"), body))
 
     found = {n: F.coalesce(pages(n), F.lit("未找到")) for n in ("chair", "mda")}
+    # Headings and labels of a document, in their order.
     content = F.concat_ws(
         "\n",
         F.concat(F.lit("# "), short, F.lit(" · "), tag, F.lit(" 年年度报告 · 董事长致辞与管理层讨论与分析")),
         F.lit(""),
         F.concat(F.lit("> **来源**：`年报PDF/"), F.col("file_name"), F.lit("`（"), short, F.lit(" "), tag, F.lit(" 年年度报告）")),
         F.concat(F.lit("> **抽取范围**：董事长致辞 "), found["chair"], F.lit("；管理层讨论与分析 "), found["mda"]),
+        *[F.lit(n) for n in P.NOTES],
         F.lit(""),
         F.lit("### 董事长致辞（主席報告 / 致股东）"),
         part("chair", P.NOT_FOUND + "：本年度年报未单列董事长致辞 / 主席報告】"),

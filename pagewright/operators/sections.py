@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import patterns as P
 from ..functions import text as X
@@ -23,11 +22,27 @@ def page_lines(page_text: DataFrame) -> DataFrame:
     A page given several times counts once (the greatest text, if they differ); a null or empty page has no lines but still counts as a page
     for ``page_counts``.
     """
-    pages = page_text.groupBy("doc_id", "page_no").agg(F.max("text").alias("text"))
-    lines = pages.select("doc_id", "page_no", F.posexplode(X.lines_of(F.col("text"))).alias("_i", "_s"))
+    lines = _pages(page_text).select("doc_id", "page_no", F.posexplode(X.lines_of(F.col("text"))).alias("_i", "_s"))
     return lines.select("doc_id", "page_no", (F.col("_i") + 1).alias("line_no"), X.strip(F.col("_s")).alias("s"))
 
 
+def _pages(page_text: DataFrame) -> DataFrame:
+    """One text a page; a set of its texts (almost always one) is hashed, where the greatest of strings would sort whole texts."""
+    return page_text.groupBy("doc_id", "page_no").agg(F.array_max(F.collect_set("text")).alias("text"))
+
+
+def telling_lines(page_text: DataFrame) -> DataFrame:
+    """The lines of ``page_lines`` that a search for sections looks at - short ones, and those that open a section - with ``after``, the first line
+    with text among the next two. Looking ahead needs no shuffle, since the lines of a page are still one array; long lines go no further."""
+    stripped = _pages(page_text).select("doc_id", "page_no", F.transform(X.lines_of(F.col("text")), X.strip).alias("_l"))
+    one, two = (lambda i: F.nullif(F.get("_l", i + 1), F.lit(""))), (lambda i: F.nullif(F.get("_l", i + 2), F.lit("")))
+    ahead = F.transform("_l", lambda s, i: F.struct((i + 1).alias("line_no"), s.alias("s"), F.coalesce(one(i), two(i)).alias("after")))
+    kept = F.filter(ahead, lambda x: ((x["s"] != "") & (F.length(x["s"]) <= 30)) | x["s"].rlike(P.SECTION_HEAD))
+    # A page with other lines only still is a page without contents.
+    lines = stripped.where(F.size("_l") > 0).select("doc_id", "page_no", F.explode_outer(kept).alias("_x"))
+    return lines.select("doc_id", "page_no", F.coalesce("_x.line_no", F.lit(0)).alias("line_no"), F.coalesce("_x.s", F.lit("")).alias("s"), "_x.after")
+
+
 def page_counts(page_text: DataFrame) -> DataFrame:
     return page_text.groupBy("doc_id").agg(F.max("page_no").alias("n_pages"))
 
@@ -39,7 +54,7 @@ def _first_prefix(s: Column, terms: list[str], values: list | None = None) -> Co
 
 
 def line_facts(lines: DataFrame) -> DataFrame:
-    """The lines with what the searches ask of each: eligible, its section numeral, and the titles it begins with."""
+    """The lines (of ``telling_lines``) with what the searches ask of each: eligible, its section numeral, and the titles it begins with."""
     s = F.col("s")
     bare = X.strip(X.without_section_prefix(s))
     citing = "[" + P.CITING + "]"
@@ -67,9 +82,7 @@ def contents_pages(facts: DataFrame) -> DataFrame:
     A page lists contents if it has two section numerals, or two titles each followed by a page figure within two lines, or four titles in
     short lines (three, with three lines of figures). Titles that nest count by the longest.
     """
-    s = F.col("s")
-    order = Window.partitionBy("doc_id", "page_no").orderBy("line_no")
-    after = F.coalesce(F.nullif(F.lead("s", 1).over(order), F.lit("")), F.nullif(F.lead("s", 2).over(order), F.lit("")))
+    s, after = F.col("s"), F.col("after")
     by_length = sorted(P.ALL_TITLES, key=lambda t: (-len(t), t))
     listed = F.when(F.col("eligible") & F.col("head").isNull() & F.coalesce(after.rlike(P.PAGE_FIGURE), F.lit(False)), _first_prefix(s, by_length))
     short = (s != "") & (F.length(s) <= 25)
@@ -155,12 +168,12 @@ def section_ranges(page_text: DataFrame) -> DataFrame:
     A section that isn't found is null throughout. Where the second would begin before the first ends it is searched again after that.
     Reports without text, repeated rows, null pages and an empty table give the defined results of ``page_lines``.
     """
-    # Lines are read by every search and each search result by the next: both are written once.
-    facts = cut(line_facts(page_lines(page_text)))
-    contents = cut(contents_pages(facts))
+    # The telling lines are few; they are written once, and so is the result of each search that the next one needs.
+    facts = cut(line_facts(telling_lines(page_text)).withColumn("s", F.substring("s", 1, 31)))
+    contents = contents_pages(facts)
     counts = page_counts(page_text)
     hits = cut(section_starts(facts, contents))
-    chair = cut(section_ends(facts, contents, counts, cut(_first_hit(hits, "chair", P.CHAIR_TERMS, F.col("page_no") <= CHAIR_LIMIT))))
+    chair = cut(section_ends(facts, contents, counts, _first_hit(hits, "chair", P.CHAIR_TERMS, F.col("page_no") <= CHAIR_LIMIT)))
     bound = chair.select("doc_id", F.col("end").alias("chair_end"))
 
     def either(rows: DataFrame, tag: str) -> DataFrame:
@@ -173,7 +186,7 @@ def section_ranges(page_text: DataFrame) -> DataFrame:
     both = first.join(bound, "doc_id", "left").join(again, "doc_id", "left")
     overlaps = F.col("chair_end").isNotNull() & (F.col("a.page") < F.col("chair_end"))
     mda = both.select("doc_id", F.when(overlaps, F.col("b")).otherwise(F.col("a")).alias("h")).where("h is not null").select("doc_id", "h.page", "h.term", "h.num")
-    mda = section_ends(facts, contents, counts, cut(mda))
+    mda = section_ends(facts, contents, counts, mda)
 
     def named(df: DataFrame, tag: str) -> DataFrame:
         return df.select("doc_id", *[F.col(c).alias(f"{tag}_{n}") for c, n in (("page", "start"), ("end", "end"), ("term", "term"), ("num", "num"))])

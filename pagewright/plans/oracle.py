@@ -6,7 +6,10 @@ correlated search. Only pattern strings and word lists are shared.
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
+
 from ..functions import patterns as P
+from ..functions.script import simplified_script
 
 
 def _q(s: str) -> str:
@@ -223,7 +226,9 @@ SECS = """secs AS (SELECT doc_id, section, r.start AS start, r."end" AS last, r.
     SELECT doc_id, section, max(struct_pack(start := r.start, "end" := r."end", term := r.term)) AS r FROM (
         SELECT doc_id, 'chair' AS section, chair AS r FROM section_record UNION ALL SELECT doc_id, 'mda', mda FROM section_record)
     WHERE r.start IS NOT NULL AND r."end" IS NOT NULL GROUP BY ALL))"""
-MERGED = f"""{IN_COLUMNS}, {PARAS}, {SECS},
+FOUND = """secs AS (SELECT doc_id, 'chair' AS section, chair_start AS start, chair_end AS last, chair_term AS term FROM ranges WHERE chair_start IS NOT NULL
+    UNION ALL SELECT doc_id, 'mda', mda_start, mda_end, mda_term FROM ranges WHERE mda_start IS NOT NULL)"""
+ITEMS = f"""{IN_COLUMNS}, {PARAS},
     items AS (SELECT i.*, section FROM (SELECT doc_id, page_no, 'p' AS kind, lvl, {_strip("t")} AS t, col_no, para_no AS no FROM paras WHERE {_strip("t")} <> ''
         UNION ALL SELECT doc_id, page_no, 't', 0, md, -1, table_no FROM md) i JOIN secs USING (doc_id) WHERE page_no BETWEEN greatest(1, start) AND last),
     pos AS (SELECT *, row_number() OVER w AS pos, CASE WHEN kind = 'p' AND lvl = 0 AND lag(kind) OVER w = 'p' AND lag(lvl) OVER w = 0
@@ -231,13 +236,27 @@ MERGED = f"""{IN_COLUMNS}, {PARAS}, {SECS},
         FROM items WINDOW w AS (PARTITION BY doc_id, section ORDER BY page_no, CASE WHEN kind = 't' THEN 1 ELSE 0 END, col_no, no)),
     merged AS (SELECT doc_id, section, CAST(seq AS INTEGER) AS seq, arg_min(kind, pos) AS kind, arg_min(lvl, pos) AS lvl, string_agg(t, '' ORDER BY pos) AS t
         FROM (SELECT *, sum(f) OVER (PARTITION BY doc_id, section ORDER BY pos) AS seq FROM pos) GROUP BY doc_id, section, seq)"""
+MERGED = f"{SECS}, {ITEMS}"
 FILES = "(SELECT DISTINCT company, file_name, mtext AS content FROM section_record WHERE length(mtext) > 0)"
-_AUD = f"""files AS (SELECT * FROM {FILES}), al AS (SELECT *, {audit_english("s")} AS en, {audit_rev("s")} AS rv, {tripled("s")} AND NOT starts_with(s, '>') AS dp, {audit_symbols("s")} AS sym
+_AUD = f"""al AS (SELECT *, {audit_english("s")} AS en, {audit_rev("s")} AS rv, {tripled("s")} AND NOT starts_with(s, '>') AS dp, {audit_symbols("s")} AS sym
     FROM {_lines("content", "company, file_name", "files")} WHERE s <> '')"""
 _NORM = f"regexp_replace(regexp_replace(content, {_q(P.LINE_BREAK)}, chr(10), 'g'), '\\n$', '')"
 _CHAIR_PART = "CASE WHEN contains(content, '### 董事长致辞') THEN split_part(substring(content, strpos(content, '### 董事长致辞') + 4), '### 管理层', 1) ELSE '' END"
 
 
+_SUMS = "n_files n_chars en rv dp sym has_chair has_mda found_chair found_mda".split()
+AUDIT = f"""{_AUD}, pf AS (SELECT company, count(*) AS n_files, sum(length({_NORM})) AS n_chars, max(CAST({_re(_NORM, P.CHAIR_MENTION)} AS INTEGER)) AS has_chair,
+        max(CAST({_re(_NORM, P.MDA_MENTION)} AS INTEGER)) AS has_mda, max(CAST(NOT contains({_CHAIR_PART}, '{P.NOT_FOUND}') AS INTEGER)) AS found_chair,
+        max(CAST(NOT contains(content, '{P.NOT_FOUND}】') AS INTEGER)) AS found_mda FROM files GROUP BY company),
+    df AS (SELECT company, count(*) FILTER (en) AS en, count(*) FILTER (rv) AS rv, count(*) FILTER (dp) AS dp, count(*) FILTER (sym) AS sym,
+        count(*) FILTER (starts_with(s, '|')) AS n_piped, count(*) AS n_lines FROM al GROUP BY company),
+    j AS (SELECT * FROM (SELECT DISTINCT company FROM reports) LEFT JOIN pf USING (company) LEFT JOIN df USING (company)),
+    t AS (SELECT company, CASE WHEN grouping(company) = 1 THEN 'total' WHEN max(n_files) IS NULL THEN 'missing' ELSE 'ok' END AS status,
+        {", ".join(f"CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}" for c in [*_SUMS, "n_piped", "n_lines"])} FROM j GROUP BY ROLLUP (company))
+    SELECT company, status, {", ".join(_SUMS)}, round(n_piped / greatest(1, n_lines), 6) AS piped, en = 0 AND rv = 0 AND sym = 0 AS passed,
+        en = 0 AND rv = 0 AND sym = 0 AND dp = 0 AND found_chair > 0 AND found_mda > 0 AS strict FROM t"""
+
+
 def oracle_sql() -> dict[str, str]:
     f = sorted(forms("s").items())
     year = "coalesce(TRY_CAST(nullif(regexp_extract(file_name, '([0-9]{4})年', 1), '') AS INTEGER), 0)"
@@ -255,12 +274,19 @@ def oracle_sql() -> dict[str, str]:
     short, year_tag = short_company("company"), tag.format(y="year")
     content = f"""array_to_string(['# ' || {short} || ' · ' || {year_tag} || ' 年年度报告 · 董事长致辞与管理层讨论与分析', '',
         '> **来源**：`年报PDF/' || file_name || '`（' || {short} || ' ' || {year_tag} || ' 年年度报告）',
-        '> **抽取范围**：董事长致辞 ' || coalesce({pages("c")}, '未找到') || '；管理层讨论与分析 ' || coalesce({pages("m")}, '未找到'), '',
+        '> **抽取范围**：董事长致辞 ' || coalesce({pages("c")}, '未找到') || '；管理层讨论与分析 ' || coalesce({pages("m")}, '未找到'), {", ".join(map(_q, P.NOTES))}, '',
         '### 董事长致辞（主席報告 / 致股东）', {part("c", "ctext", P.NOT_FOUND + "：本年度年报未单列董事长致辞 / 主席報告】")}, '',
         '### 管理层讨论与分析', {part("m", "mtext", P.NOT_FOUND + "】")}, ''], chr(10))"""
-    sums = "n_files n_chars en rv dp sym has_chair has_mda found_chair found_mda".split()
     block = "CASE WHEN kind = 't' THEN chr(10) || t || chr(10) WHEN lvl = 1 THEN chr(10) || '#### ' || t || chr(10) WHEN lvl = 2 THEN chr(10) || '##### ' || t || chr(10) ELSE t || chr(10) END"
-    return {
+    rendered = f"""rendered AS (SELECT doc_id, section, {_strip('regexp_replace(b, chr(10) || chr(10) || chr(10) || chr(43), chr(10) || chr(10), chr(103))')} AS md
+        FROM (SELECT doc_id, section, string_agg({block}, chr(10) ORDER BY seq) AS b FROM merged GROUP BY ALL))"""
+    documents = f"""docs AS (SELECT doc_id, company, year, file_name, {short} || '_' || {year_tag} || '_董事长致辞与MD&A.md' AS md_name, {content} AS content
+        FROM (SELECT DISTINCT doc_id, company, year, file_name FROM reports) LEFT JOIN (SELECT * FROM secs WHERE section = 'chair') c USING (doc_id)
+        LEFT JOIN (SELECT * FROM secs WHERE section = 'mda') m USING (doc_id) LEFT JOIN tx USING (doc_id))"""
+    latest = "SELECT * FROM docs QUALIFY row_number() OVER (PARTITION BY company, md_name ORDER BY file_name DESC, doc_id DESC) = 1"
+    texts = "tx AS (SELECT doc_id, max(md) FILTER (section = 'chair') AS ctext, max(md) FILTER (section = 'mda') AS mtext FROM rendered GROUP BY doc_id)"
+    whole_run = f"{RANGES}, {FOUND}, {ITEMS}, {rendered}, {texts}, {documents}"
+    found = {
         "line_english": f"SELECT doc_id, page_no, line_no, {english('s')} AS english, {audit_english('s')} AS audit_english FROM {LINES}",
         "line_furniture": f"SELECT doc_id, page_no, line_no, {', '.join(f'{c} AS {k}' for k, c in f)}, {furniture('s')} AS furniture FROM {LINES}",
         "line_garbled": f"SELECT doc_id, page_no, line_no, {rev('s')} AS rev, {audit_rev('s')} AS audit_rev, {tripled('s')} AS tripled, {interleaved('s')} AS interleaved, {symbols('s')} AS symbols, {audit_symbols('s')} AS audit_symbols FROM {LINES}",
@@ -270,17 +296,8 @@ def oracle_sql() -> dict[str, str]:
         "section_hits": f"WITH {FACTS}, {TOC}, {HITS} SELECT * FROM hits",
         "section_ranges": f"WITH {RANGES} SELECT * FROM ranges",
         "range_labels": f"WITH {RANGES} SELECT doc_id, company, year, company || ' ' || year || ': 董事长=' || {label('chair')} || ' | MD&A=' || {label('mda')} AS label FROM (SELECT DISTINCT doc_id, company, year FROM reports) LEFT JOIN ranges USING (doc_id)",
-        "audit_lines": f"WITH {_AUD} SELECT company, file_name, line_no, en, rv, dp, sym FROM al",
-        "audit_rollup": f"""WITH {_AUD}, pf AS (SELECT company, count(*) AS n_files, sum(length({_NORM})) AS n_chars, max(CAST({_re(_NORM, P.CHAIR_MENTION)} AS INTEGER)) AS has_chair,
-                max(CAST({_re(_NORM, P.MDA_MENTION)} AS INTEGER)) AS has_mda, max(CAST(NOT contains({_CHAIR_PART}, '{P.NOT_FOUND}') AS INTEGER)) AS found_chair,
-                max(CAST(NOT contains(content, '{P.NOT_FOUND}】') AS INTEGER)) AS found_mda FROM files GROUP BY company),
-            df AS (SELECT company, count(*) FILTER (en) AS en, count(*) FILTER (rv) AS rv, count(*) FILTER (dp) AS dp, count(*) FILTER (sym) AS sym,
-                count(*) FILTER (starts_with(s, '|')) AS n_piped, count(*) AS n_lines FROM al GROUP BY company),
-            j AS (SELECT * FROM (SELECT DISTINCT company FROM reports) LEFT JOIN pf USING (company) LEFT JOIN df USING (company)),
-            t AS (SELECT company, CASE WHEN grouping(company) = 1 THEN 'total' WHEN max(n_files) IS NULL THEN 'missing' ELSE 'ok' END AS status,
-                {", ".join(f"CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}" for c in [*sums, "n_piped", "n_lines"])} FROM j GROUP BY ROLLUP (company))
-            SELECT company, status, {", ".join(sums)}, round(n_piped / greatest(1, n_lines), 6) AS piped, en = 0 AND rv = 0 AND sym = 0 AS passed,
-                en = 0 AND rv = 0 AND sym = 0 AND dp = 0 AND found_chair > 0 AND found_mda > 0 AS strict FROM t""",
+        "audit_lines": f"WITH files AS (SELECT * FROM {FILES}), {_AUD} SELECT company, file_name, line_no, en, rv, dp, sym FROM al",
+        "audit_rollup": f"WITH files AS (SELECT * FROM {FILES}), {AUDIT}",
         "table_filter": f"WITH {_TABS} SELECT doc_id, page_no, table_no, CAST(n_cols AS INTEGER) AS n_cols, round(share, 6) AS blank_share, accepted FROM ok",
         "table_md": f"WITH {_MD} SELECT doc_id, page_no, table_no, md FROM md",
         "words_outside": f"WITH {_MD}, {_OUT} SELECT doc_id, page_no, word_no FROM outside",
@@ -293,13 +310,18 @@ def oracle_sql() -> dict[str, str]:
         "paragraph_reflow": f"WITH {ONE_COLUMN}, {PARAS} SELECT * FROM paras",
         "page_merge": f"WITH {MERGED} SELECT * FROM merged",
         "paragraph_lengths": f"WITH {MERGED} SELECT doc_id, section, count(*) AS n_paragraphs, round(avg(length(t)), 6) AS mean_length, count(*) FILTER (length(t) <= 60) AS n_short FROM merged WHERE kind = 'p' AND lvl = 0 GROUP BY ALL",
-        "render_sections": f"WITH {MERGED} SELECT doc_id, section, {_strip('regexp_replace(b, chr(10) || chr(10) || chr(10) || chr(43), chr(10) || chr(10), chr(103))')} AS md FROM (SELECT doc_id, section, string_agg({block}, chr(10) ORDER BY seq) AS b FROM merged GROUP BY ALL)",
-        "render_report": f"""WITH {SECS}, tx AS (SELECT doc_id, max(ctext) AS ctext, max(mtext) AS mtext FROM section_record GROUP BY doc_id),
-            docs AS (SELECT doc_id, company, year, file_name, {short} || '_' || {year_tag} || '_董事长致辞与MD&A.md' AS md_name, {content} AS content
-                FROM (SELECT DISTINCT doc_id, company, year, file_name FROM reports) LEFT JOIN (SELECT * FROM secs WHERE section = 'chair') c USING (doc_id)
-                LEFT JOIN (SELECT * FROM secs WHERE section = 'mda') m USING (doc_id) LEFT JOIN tx USING (doc_id))
-            SELECT * FROM docs QUALIFY row_number() OVER (PARTITION BY company, md_name ORDER BY file_name DESC, doc_id DESC) = 1""",
+        "render_sections": f"WITH {MERGED}, {rendered} SELECT * FROM rendered",
+        "render_report": f"WITH {SECS}, tx AS (SELECT doc_id, max(ctext) AS ctext, max(mtext) AS mtext FROM section_record GROUP BY doc_id), {documents} {latest}",
+        "extract_reports": f"WITH {whole_run} {latest}",
+        "extract_audit": f"""WITH {whole_run}, placed_files AS (SELECT company, md_name AS file_name, content, CASE WHEN year = 0 THEN 0 ELSE 1 END AS sub FROM ({latest})),
+            files AS (SELECT company, file_name, content FROM placed_files QUALIFY sub = max(sub) OVER (PARTITION BY company)), {AUDIT}""",
         "extract_summary": f"""WITH {SECS}, h AS (SELECT doc_id, max(CAST(section = 'chair' AS INTEGER)) AS c, max(CAST(section = 'mda' AS INTEGER)) AS m FROM secs GROUP BY doc_id),
             e AS (SELECT company, year, count(*) AS n, sum(coalesce(c, 0)) AS c, sum(coalesce(m, 0)) AS m FROM (SELECT DISTINCT doc_id, company, year FROM reports) LEFT JOIN h USING (doc_id) GROUP BY ALL)
             SELECT company, CAST(sum(n) AS BIGINT) AS n_reports, CAST(sum(c) AS BIGINT) AS n_chair, CAST(sum(m) AS BIGINT) AS n_mda, count(*) AS n_files FROM e GROUP BY ROLLUP (company)""",
     }
+    session = SparkSession.getActiveSession()
+    if session is not None:  # the table of characters comes from the session
+        script = simplified_script(session)
+        plain = f"translate(content, {_q(''.join(map(chr, script)))}, {_q(''.join(script.values()))})"
+        found["extract_simplified"] = f"WITH {whole_run} SELECT doc_id, company, year, file_name, md_name, {plain} AS content FROM ({latest})"
+    return found

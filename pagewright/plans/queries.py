@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions.script import simplified_script
 from ..operators import audit, layout, reflow, render, sections, tables
-from ..session import table
+from ..session import cut, table
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
@@ -45,7 +46,7 @@ def company_parse(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _facts(spark: SparkSession, d: str) -> DataFrame:
-    return sections.line_facts(_lines(spark, d))
+    return sections.line_facts(sections.telling_lines(table(spark, d, "page_text")))
 
 
 def toc_pages(spark: SparkSession, d: str) -> DataFrame:
@@ -76,7 +77,7 @@ def audit_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def audit_rollup(spark: SparkSession, d: str) -> DataFrame:
-    rows = audit.audit_companies(audit.preferred_files(_files(spark, d)), table(spark, d, "reports"))
+    rows = audit.audit_companies(audit.preferred_files(cut(_files(spark, d))), table(spark, d, "reports"))
     return rows.withColumn("piped", F.round("piped", 6))
 
 
@@ -93,8 +94,8 @@ def table_md(spark: SparkSession, d: str) -> DataFrame:
     return _rendered(spark, d).select("doc_id", "page_no", "table_no", "md")
 
 
-def _words(spark: SparkSession, d: str) -> DataFrame:
-    return tables.words_outside(layout.clean_words(table(spark, d, "word")), _rendered(spark, d))
+def _words(spark: SparkSession, d: str, rendered: DataFrame | None = None) -> DataFrame:
+    return tables.words_outside(layout.clean_words(table(spark, d, "word")), _rendered(spark, d) if rendered is None else rendered)
 
 
 def words_outside(spark: SparkSession, d: str) -> DataFrame:
@@ -111,8 +112,8 @@ def column_choice(spark: SparkSession, d: str) -> DataFrame:
     return c.select("doc_id", "page_no", "cut", F.round("left_share", 6).alias("left_share"), F.round("right_share", 6).alias("right_share"), "keep")
 
 
-def _vlines(spark: SparkSession, d: str) -> DataFrame:
-    return layout.visual_lines(layout.in_columns(_words(spark, d), table(spark, d, "page_geom")))
+def _vlines(spark: SparkSession, d: str, rendered: DataFrame | None = None) -> DataFrame:
+    return layout.visual_lines(layout.in_columns(_words(spark, d, rendered), table(spark, d, "page_geom")))
 
 
 def visual_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -131,10 +132,6 @@ def gap_median(spark: SparkSession, d: str) -> DataFrame:
     return reflow.gaps(reflow.body_lines(visual_lines(spark, d)))
 
 
-def _paras(spark: SparkSession, d: str) -> DataFrame:
-    return reflow.paragraphs(_vlines(spark, d))
-
-
 def paragraph_reflow(spark: SparkSession, d: str) -> DataFrame:
     """Paragraphs of pages read as one column, so that the rule can be stated from the words on."""
     return reflow.paragraphs(visual_lines(spark, d))
@@ -148,8 +145,10 @@ def _ranges(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("doc_id", "section").agg(F.max(F.struct("start", "end", "term")).alias("m")).select("doc_id", "section", "m.*")
 
 
-def _merged(spark: SparkSession, d: str) -> DataFrame:
-    return reflow.merged_items(reflow.section_items(_paras(spark, d), _rendered(spark, d), _ranges(spark, d)))
+def _merged(spark: SparkSession, d: str, ranges: DataFrame | None = None) -> DataFrame:
+    rendered = cut(_rendered(spark, d))  # they take words out and stand in the text
+    paras = reflow.paragraphs(_vlines(spark, d, rendered))
+    return reflow.merged_items(reflow.section_items(paras, rendered, _ranges(spark, d) if ranges is None else ranges))
 
 
 def page_merge(spark: SparkSession, d: str) -> DataFrame:
@@ -165,11 +164,40 @@ def render_sections(spark: SparkSession, d: str) -> DataFrame:
 
 
 def render_report(spark: SparkSession, d: str) -> DataFrame:
-    texts = table(spark, d, "section_record")
-    md = F.explode(F.array(F.struct(F.lit("chair").alias("section"), F.col("ctext").alias("md")), F.struct(F.lit("mda").alias("section"), F.col("mtext").alias("md"))))
-    s = texts.select("doc_id", md.alias("p")).select("doc_id", "p.*").groupBy("doc_id", "section").agg(F.max("md").alias("md"))
-    docs = render.report_markdown(table(spark, d, "reports"), _ranges(spark, d), s)
-    return render.latest_by_name(docs)
+    """Documents of the records' ranges and finished texts. One record a report: one scan gives both."""
+    parts = F.array(*[F.struct(F.lit(n).alias("section"), F.col(n).alias("r"), F.col(t).alias("md")) for n, t in (("chair", "ctext"), ("mda", "mtext"))])
+    rows = table(spark, d, "section_record").select("doc_id", F.explode(parts).alias("p")).select("doc_id", "p.*")
+    found = F.col("r.start").isNotNull() & F.col("r.end").isNotNull()
+    one = rows.groupBy("doc_id", "section").agg(F.max(F.when(found, F.struct("r.start", "r.end", "r.term"))).alias("m"), F.max("md").alias("md"))
+    one = cut(one.select("doc_id", "section", "m.*", "md"))
+    docs = render.report_markdown(table(spark, d, "reports"), one.where("start is not null"), one.select("doc_id", "section", "md"))
+    return render.latest_by_name(cut(docs))
+
+
+def _found_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """``doc_id, section, start, end, term`` of the sections found in the pages."""
+    parts = F.array(*[F.struct(F.lit(n).alias("section"), *[F.col(f"{n}_{c}").alias(c) for c in ("start", "end", "term")]) for n in ("chair", "mda")])
+    return section_ranges(spark, d).select("doc_id", F.explode(parts).alias("p")).select("doc_id", "p.*").where("start is not null")
+
+
+def extract_reports(spark: SparkSession, d: str, simplified: bool = False) -> DataFrame:
+    """The whole run: pages to sections, words and tables of the sections to Markdown, and the document of each report."""
+    script = simplified_script(spark) if simplified else None
+    ranges = cut(_found_ranges(spark, d))
+    md = render.section_markdown(_merged(spark, d, ranges), script)
+    return render.latest_by_name(cut(render.report_markdown(table(spark, d, "reports"), ranges, md, script)))
+
+
+def extract_simplified(spark: SparkSession, d: str) -> DataFrame:
+    """The whole run with simplified characters, as it is by default for readers."""
+    return extract_reports(spark, d, simplified=True)
+
+
+def extract_audit(spark: SparkSession, d: str) -> DataFrame:
+    """The audit of the documents of the whole run. Those of reports without a year stand beside their company's folder."""
+    docs = extract_reports(spark, d).select("company", F.col("md_name").alias("file_name"), F.when(F.col("year") == 0, "root").otherwise("sub").alias("location"), "content")
+    rows = audit.audit_companies(audit.preferred_files(cut(docs)), table(spark, d, "reports"))
+    return rows.withColumn("piped", F.round("piped", 6))
 
 
 def extract_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -185,6 +213,7 @@ NAMES = (
     "line_english", "line_furniture", "line_garbled", "line_heading", "company_parse", "toc_pages", "section_hits", "section_ranges", "range_labels",
     "audit_lines", "audit_rollup", "table_filter", "table_md", "words_outside", "column_cut", "column_choice", "visual_lines", "column_lines",
     "margin_mode", "gap_median", "paragraph_reflow", "page_merge", "paragraph_lengths", "render_sections", "render_report", "extract_summary",
+    "extract_reports", "extract_simplified", "extract_audit",
 )
 
 

@@ -25,6 +25,7 @@ def build_session(app: str = "pagewright", master: str = "local[8]", partitions:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in conf.items():
         b = b.config(k, v)
@@ -55,7 +56,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named in ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a single machine) a temporary one is made; it is removed at exit.
+    Only where the session names none and runs on one machine (``local``, as in tests) a temporary one is made; it is removed at exit. A
+    cluster without a shared folder is an error: what one machine keeps for itself is lost with it.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -64,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local["):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         own = tempfile.mkdtemp(prefix="pagewright-")
         _OWN_DIRS.append(own)
         sc.setCheckpointDir(own)
@@ -76,6 +80,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove_cuts(spark: SparkSession) -> bool:
+    """Removes this application's own sub-folder of the shared folder, once its results are written. Frames made from cuts can't be read after
+    that. (``spark.cleaner.referenceTracking.cleanCheckpoints`` removes single cuts as soon as nothing refers to them.)"""
+    sc = spark.sparkContext
+    place = sc._jsc.sc().getCheckpointDir()
+    if place.isEmpty():
+        return False
+    path = sc._jvm.org.apache.hadoop.fs.Path(place.get())
+    return bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True))
+
+
 @atexit.register
 def _remove_own_dirs() -> None:
     for d in _OWN_DIRS:

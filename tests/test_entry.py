@@ -9,7 +9,7 @@ from pagewright.plans.queries import queries
 SF = "/root/testdata/sf0.001"
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql(spark):
     assert set(oracle_sql()) == set(queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -18,7 +18,7 @@ def test_flagship(spark):
     assert df.columns == ["doc_id", "section", "md"]
 
 
-@pytest.mark.parametrize("name", ["line_english", "company_parse", "toc_pages", "table_md", "column_cut", "extract_summary"])
+@pytest.mark.parametrize("name", ["line_english", "company_parse", "toc_pages", "table_md", "column_cut", "extract_summary", "extract_reports", "extract_simplified", "extract_audit"])
 def test_queries_give_the_rows_of_their_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     from pathlib import Path

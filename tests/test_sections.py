@@ -34,7 +34,7 @@ def test_ranges(spark):
 
 
 def test_contents_pages(spark):
-    facts = sections.line_facts(sections.page_lines(pages(spark)))
+    facts = sections.line_facts(sections.telling_lines(pages(spark)))
     listed = {(r.doc_id, r.page_no) for r in sections.contents_pages(facts).where("is_contents").collect()}
     assert listed == {(1, 2), (2, 2)}
 

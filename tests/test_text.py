@@ -47,6 +47,6 @@ def test_report_year(spark, name, year):
     assert spark.range(1).select(X.report_year(F.lit(name))).first()[0] == year
 
 
-@pytest.mark.parametrize(("folder", "short"), [("02_华能国际", "华能国际"), ("2024", "2024"), ("7 - 甲", "- 甲")])
+@pytest.mark.parametrize(("folder", "short"), [("02_华能国际", "华能国际"), ("2024", "2024"), ("7 - 甲", "甲")])
 def test_short_company(spark, folder, short):
     assert spark.range(1).select(X.short_company(F.lit(folder))).first()[0] == short

@@ -8,7 +8,7 @@
   words are joined in SQL with the frequent word in the same surroundings (equal hash without the character), the differences are ranked by
   how many words support them, and those with enough support are the confusable characters: none are given beforehand. Every rare word is
   then joined with frequent words at exactly a learned difference; corrections are ranked by frequency.
-* *Hyphens.* A word that ends in a mark is the first part of a broken word if it makes a usual word with the first word of a line on its page or
+* *Hyphens.* A word that ends in a mark is the first part of a broken word if it makes a usual word with a word on another line of its page or on
   the next, unless the corpus knows the part as the beginning of a compound that keeps its hyphen.
 
 Vocabularies, corrections and repaired words stay tables that are joined; only the confusable characters (at most ten a character) reach the
@@ -442,30 +442,28 @@ def furniture_words(words: DataFrame, geometry: DataFrame | None = None, letters
 def broken_words(words: DataFrame, counts: DataFrame, usual_least: int = 5) -> DataFrame:
     """``doc_id, page_no, word_no`` of the first parts of words broken at a line end.
 
-    A word that ends in a mark is paired with the first words of the lines of its page and the next. The two are one word if together they are
+    A word that ends in a mark is paired with the words of its page, on another line, and of the next. The two are one word if together they are
     usual (seen ``usual_least`` times, whatever the case), unless the part is a usual word itself and the rest is more than twice as usual as
     the whole, or the part begins a compound that keeps its hyphen (seen three times).
     """
-    w = words.where(F.length("text") > 0).select("doc_id", "page_no", "word_no", "text", "x0", "x1", "top")
+    w = words.where(F.length("text") > 0).select("doc_id", "page_no", "word_no", "text", "top")
     part = F.lower(F.regexp_extract("text", _BROKEN, 1))
     ends = w.where(F.right("text", F.lit(1)).isin(*BREAK_MARKS))
     marked = ends.select("doc_id", "page_no", "word_no", "top", part.alias("part")).where("part <> ''").distinct()
     kept = counts.where((F.col("kind") == _JOINED) & (F.col("n") >= 3)).select(F.lower(F.regexp_extract("gram", "^[^-]+", 0)).alias("part")).distinct()
     marked = cut(marked.join(kept.hint("merge"), "part", "left_anti"))
-    near = marked.select("doc_id", "page_no", "word_no", "top", "part", F.explode(F.array(F.col("page_no"), F.col("page_no") + 1)).alias("_page"))
-    pages = cut(near.select("doc_id", F.col("_page").alias("page_no")).distinct())
-    row = F.bround(F.col("top") / 3)
-    along = Window.partitionBy("doc_id", "page_no").orderBy(row, "x0", "word_no")
-    n_pages = pages.count()
-    place = F.xxhash64("doc_id", "page_no")
-    firsts = may_match(w, place, key_bits(pages, place, n_pages), n_pages).join(pages.hint("merge"), ["doc_id", "page_no"], "left_semi")
-    apart = (F.lag(row).over(along) != row) | (F.col("x0") - F.lag("x1").over(along) > 8)
-    firsts = firsts.withColumn("_starts", F.coalesce(apart, F.lit(True))).where("_starts")
-    rest = F.regexp_extract("text", f"^[{_LETTER}0-9]*[{_LETTER}][{_LETTER}0-9]*", 0)
-    firsts = firsts.select("doc_id", F.col("page_no").alias("_page"), F.col("top").alias("_top"), rest.alias("rest")).where((F.col("rest") != "") & (F.col("rest") == F.lower("rest"))).distinct()
-    pairs = near.join(firsts.hint("merge"), ["doc_id", "_page"]).where((F.col("_page") != F.col("page_no")) | (F.abs(F.col("_top") - F.col("top")) > 3))
     usual = counts.where((F.col("kind") == _WORD) & (F.col("n") >= usual_least) & F.col("gram").rlike(f"^[{_LETTER}]{{2,}}$"))
     usual = usual.groupBy(F.lower("gram").alias("w")).agg(F.sum("n").alias("n"))
+    # What is left of usual words behind the parts that occur; only words that begin with such a rest are paired.
+    split = F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.struct(F.substring(F.col("w"), F.lit(1), i).alias("part"), F.substring(F.col("w"), i + 1, F.length("w")).alias("rest")))
+    splits = usual.select(F.explode(split).alias("_s")).select("_s.part", "_s.rest").join(marked.select("part").distinct().hint("merge"), "part", "left_semi")
+    rests = cut(splits.select("rest").distinct())
+    n = rests.count()
+    rest = F.regexp_extract("text", f"^[{_LETTER}0-9]*[{_LETTER}][{_LETTER}0-9]*", 0)
+    tails = w.select("doc_id", F.col("page_no").alias("_page"), F.col("top").alias("_top"), rest.alias("rest")).where((F.col("rest") != "") & (F.col("rest") == F.lower("rest")))
+    tails = may_match(tails, F.xxhash64("rest"), key_bits(rests, F.xxhash64("rest"), n), n).distinct()
+    near = marked.select("doc_id", "page_no", "word_no", "top", "part", F.explode(F.array(F.col("page_no"), F.col("page_no") + 1)).alias("_page"))
+    pairs = near.join(tails.hint("merge"), ["doc_id", "_page"]).where((F.col("_page") != F.col("page_no")) | (F.abs(F.col("_top") - F.col("top")) > 3))
     whole = pairs.withColumn("w", F.concat("part", "rest")).join(usual.hint("merge"), "w")
     of_part = usual.select(F.col("w").alias("part"), F.col("n").alias("n_part")).hint("merge")
     of_rest = usual.select(F.col("w").alias("rest"), F.col("n").alias("n_rest")).hint("merge")

@@ -11,6 +11,7 @@ from ..functions import text as X
 from ..functions.script import simplified_script
 from ..operators import audit, layout, reflow, render, sections, tables
 from ..session import cut, table
+from . import pipeline
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
@@ -94,8 +95,8 @@ def table_md(spark: SparkSession, d: str) -> DataFrame:
     return _rendered(spark, d).select("doc_id", "page_no", "table_no", "md")
 
 
-def _words(spark: SparkSession, d: str, rendered: DataFrame | None = None) -> DataFrame:
-    return tables.words_outside(layout.clean_words(table(spark, d, "word")), _rendered(spark, d) if rendered is None else rendered)
+def _words(spark: SparkSession, d: str) -> DataFrame:
+    return tables.words_outside(layout.clean_words(table(spark, d, "word")), _rendered(spark, d))
 
 
 def words_outside(spark: SparkSession, d: str) -> DataFrame:
@@ -112,8 +113,8 @@ def column_choice(spark: SparkSession, d: str) -> DataFrame:
     return c.select("doc_id", "page_no", "cut", F.round("left_share", 6).alias("left_share"), F.round("right_share", 6).alias("right_share"), "keep")
 
 
-def _vlines(spark: SparkSession, d: str, rendered: DataFrame | None = None) -> DataFrame:
-    return layout.visual_lines(layout.in_columns(_words(spark, d, rendered), table(spark, d, "page_geom")))
+def _vlines(spark: SparkSession, d: str) -> DataFrame:
+    return layout.visual_lines(layout.in_columns(_words(spark, d), table(spark, d, "page_geom")))
 
 
 def visual_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -145,10 +146,8 @@ def _ranges(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("doc_id", "section").agg(F.max(F.struct("start", "end", "term")).alias("m")).select("doc_id", "section", "m.*")
 
 
-def _merged(spark: SparkSession, d: str, ranges: DataFrame | None = None) -> DataFrame:
-    rendered = cut(_rendered(spark, d))  # they take words out and stand in the text
-    paras = reflow.paragraphs(_vlines(spark, d, rendered))
-    return reflow.merged_items(reflow.section_items(paras, rendered, _ranges(spark, d) if ranges is None else ranges))
+def _merged(spark: SparkSession, d: str) -> DataFrame:
+    return pipeline.section_items(table(spark, d, "word"), table(spark, d, "doc_table"), table(spark, d, "page_geom"), _ranges(spark, d))
 
 
 def page_merge(spark: SparkSession, d: str) -> DataFrame:
@@ -174,18 +173,11 @@ def render_report(spark: SparkSession, d: str) -> DataFrame:
     return render.latest_by_name(cut(docs))
 
 
-def _found_ranges(spark: SparkSession, d: str) -> DataFrame:
-    """``doc_id, section, start, end, term`` of the sections found in the pages."""
-    parts = F.array(*[F.struct(F.lit(n).alias("section"), *[F.col(f"{n}_{c}").alias(c) for c in ("start", "end", "term")]) for n in ("chair", "mda")])
-    return section_ranges(spark, d).select("doc_id", F.explode(parts).alias("p")).select("doc_id", "p.*").where("start is not null")
-
-
 def extract_reports(spark: SparkSession, d: str, simplified: bool = False) -> DataFrame:
     """The whole run: pages to sections, words and tables of the sections to Markdown, and the document of each report."""
-    script = simplified_script(spark) if simplified else None
-    ranges = cut(_found_ranges(spark, d))
-    md = render.section_markdown(_merged(spark, d, ranges), script)
-    return render.latest_by_name(cut(render.report_markdown(table(spark, d, "reports"), ranges, md, script)))
+    ranges = pipeline.sections_found(table(spark, d, "page_text"))
+    rest = [table(spark, d, n) for n in ("word", "doc_table", "page_geom")]
+    return pipeline.documents(table(spark, d, "reports"), ranges, *rest, simplified_script(spark) if simplified else None)
 
 
 def extract_simplified(spark: SparkSession, d: str) -> DataFrame:

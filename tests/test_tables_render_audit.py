@@ -60,7 +60,7 @@ def test_files_and_audit(spark, tmp_path):
     found = files.report_files(spark, str(tmp_path))
     assert [(r.company, r.year) for r in found.collect()] == [("02_甲电", 2023)]
     with pytest.raises(RuntimeError):
-        files.pdf_pages(found)
+        files.PdfReader()
 
 
 def test_empty_audit(spark):

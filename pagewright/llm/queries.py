@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import table
 from . import leakage, packing, page_repair, repeated_lines, splitting, text_quality, truncation, visual_form
@@ -69,10 +70,30 @@ def p6_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_containers(packing.token_sizes(table(spark, d, "documents")), table(spark, d, "pack_profile"))
 
 
+def p5_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """For each text that was cut whether its pieces cover it, fit, and share what the profile asks for."""
+    records, profiles = table(spark, d, "section_record"), table(spark, d, "split_profile")
+    pieces = splitting.oversized_pieces(records, profiles).join(F.broadcast(profiles.select("profile", "max_size", "overlap")), "profile")
+    order = Window.partitionBy("profile", "doc_id").orderBy("piece_no")
+    before = F.lag("end").over(order)
+    joins = F.when(before.isNull(), F.col("start") == 0).otherwise((F.col("start") <= before) & (F.col("end") > before) & ((F.col("overlap_units") >= F.col("overlap")) | (F.col("start") == 0)))
+    rows = pieces.withColumn("_joins", joins & (F.length("text") == F.col("end") - F.col("start"))).groupBy("profile", "doc_id")
+    return rows.agg(F.max("end").alias("covered"), (F.max("units") <= F.max("max_size")).alias("within"), F.min("_joins").alias("joined"))
+
+
 def p6_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.container_fill(p6_containers(spark, d), table(spark, d, "pack_profile"))
 
 
+def p6_assigned(spark: SparkSession, d: str) -> DataFrame:
+    """For each profile how many texts have a container, how many have one more often than once for each part, and how many containers are too full."""
+    rows = p6_containers(spark, d).join(F.broadcast(table(spark, d, "pack_profile").groupBy("profile").agg(F.max("capacity_tokens").alias("_cap"), F.max("sep_tokens").alias("_sep"))), "profile")
+    load = F.sum("n_tokens").over(Window.partitionBy("profile", "container")) + F.col("_sep") * (F.count(F.lit(1)).over(Window.partitionBy("profile", "container")) - 1)
+    rows = rows.withColumn("_load", load)
+    again = F.count(F.lit(1)) - F.count_distinct("doc_id", "part_no")
+    return rows.groupBy("profile").agg(F.count_distinct("doc_id").alias("n_texts"), again.alias("n_again"), F.count_if((F.col("_load") > F.col("_cap")) | (F.col("_load") != F.col("fill"))).alias("n_wrong"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_item"))
 
@@ -89,5 +110,14 @@ def p8_sources(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncation_by_source(table(spark, d, "documents"))
 
 
+def p8_totals(spark: SparkSession, d: str) -> DataFrame:
+    """The texts of each source, and whether its share of cut texts is that of the texts found."""
+    documents = table(spark, d, "documents")
+    found = truncation.truncated_texts(documents).groupBy("source").agg(F.count_distinct("doc_id").alias("_found"))
+    rows = truncation.truncation_by_source(documents).join(found, "source", "left")
+    agrees = (F.col("n_cut") == F.coalesce("_found", F.lit(0))) & (F.abs(F.col("cut_share") * F.col("n_texts") - F.col("n_cut")) < 1e-6)
+    return rows.select("source", "n_texts", agrees.alias("agrees"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1:2].isdigit()}

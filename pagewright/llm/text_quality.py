@@ -75,8 +75,7 @@ def pairs_of(text: str, han_runs: list[str] | None = None) -> list[str]:
 
 
 def in_one_script(text: str, script: dict[int, str]) -> str:
-    """The one visual form of a text, in simplified characters; most texts hold none that would change."""
-    text = visual_form(text)
+    """A text in its visual form in simplified characters; most texts hold none that would change."""
     return text.translate(script) if script and not text.isascii() and _other_script(len(script), tuple(script)).search(text) else text
 
 
@@ -90,9 +89,9 @@ def text_digest(text: str) -> str:
     return digest(visual_form(text)).hex()
 
 
-def statistics(raw: str, common: frozenset[str], script: dict[int, str]) -> tuple[int, list[float]]:
-    """The number of words (each ideograph, each run of letters, each number) and the values of ``FEATURES``."""
-    text = in_one_script(raw, script)
+def statistics(raw: str, common: frozenset[str], script: dict[int, str], form: str | None = None) -> tuple[int, list[float]]:
+    """The number of words (each ideograph, each run of letters, each number) and the values of ``FEATURES``; ``form`` is the visual form, if known."""
+    text = in_one_script(visual_form(raw) if form is None else form, script)
     n = max(1, len(text) - text.count("\n"))
     han_runs = _HAN_RUN.findall(text)
     words = _LATIN_RUN.findall(text)
@@ -201,7 +200,7 @@ def common_words(texts: DataFrame, least_share: float = 5e-6) -> list[str]:
         for b in batches:
             counts: Counter[str] = Counter()
             for t in b.column("text").to_pylist():
-                lines = in_one_script(t, script).split("\n")
+                lines = in_one_script(visual_form(t), script).split("\n")
                 counts.update(pairs_of("\n".join([s for s in lines if len(s) >= 15 and _STOP.search(s, 12)])))
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
@@ -220,9 +219,9 @@ def _statistics(texts: DataFrame, common: frozenset[str], script: dict[int, str]
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, script = sent.value
         for b in batches:
-            texts = b.column("text").to_pylist()
-            rows = [statistics(t, common, script) for t in texts]
-            cols = [b.column("doc_id"), pa.array([text_digest(t) for t in texts], pa.string()), pa.array([r[0] for r in rows], pa.int32())]
+            forms = [visual_form(t) for t in b.column("text").to_pylist()]
+            rows = [statistics(t, common, script, t) for t in forms]
+            cols = [b.column("doc_id"), pa.array([digest(t).hex() for t in forms], pa.string()), pa.array([r[0] for r in rows], pa.int32())]
             cols += [pa.array([r[1][j] for r in rows], pa.float64()) for j in range(len(FEATURES))]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "text_id", "n_words", *FEATURES])
 
@@ -264,7 +263,7 @@ class QualityModel:
         return p / p.sum(1, keepdims=True)
 
 
-def training_rows(texts: DataFrame, stats: DataFrame, common: frozenset[str], script: dict[int, str], train_rows: int = 2000, made_rows: int = 150) -> list[tuple[str, list[float]]]:
+def training_rows(texts: DataFrame, stats: DataFrame, common: frozenset[str], script: dict[int, str], train_rows: int = 2000, made_rows: int = 100) -> list[tuple[str, list[float]]]:
     """Weak label and statistics of about ``train_rows`` records (those with the smallest hashes of their ids), and of junk made from about
     ``made_rows`` texts of prose. The holdout's records, and texts that look like one of them, are no training rows. Texts are read and junk is
     made on the executors."""

@@ -47,10 +47,11 @@ def page_counts(page_text: DataFrame) -> DataFrame:
     return page_text.groupBy("doc_id").agg(F.max("page_no").alias("n_pages"))
 
 
-def _first_prefix(s: Column, terms: list[str], values: list | None = None) -> Column:
-    """The first term, in order, that ``s`` begins with."""
-    values = terms if values is None else values
-    return F.coalesce(*[F.when(s.startswith(t), F.lit(v)) for t, v in zip(terms, values, strict=True)])
+def _first_prefix(name: str, terms: list[str], values: list | None = None) -> Column:
+    """The first term, in order, that the column begins with (or what stands for it); one expression, since a call for each part would take the
+    driver longer than the search takes the executors."""
+    values = [f"'{t}'" for t in terms] if values is None else values
+    return F.expr("CASE " + " ".join(f"WHEN startswith({name}, '{t}') THEN {v}" for t, v in zip(terms, values, strict=True)) + " END")
 
 
 def line_facts(lines: DataFrame) -> DataFrame:
@@ -62,11 +63,10 @@ def line_facts(lines: DataFrame) -> DataFrame:
 
     def order(terms: list[str]) -> Column:
         n = list(range(len(terms)))
-        return F.least(_first_prefix(bare, terms, n), _first_prefix(s, terms, n))
+        return F.least(_first_prefix("bare", terms, n), _first_prefix("s", terms, n))
 
-    return lines.select(
+    return lines.withColumn("bare", bare).select(
         "*",
-        bare.alias("bare"),
         ((s != "") & (F.length(s) <= 30) & ~s.rlike(citing)).alias("eligible"),
         head.alias("head"),
         s.rlike(P.SECTION_HEAD_LINE).alias("head_line"),
@@ -84,16 +84,16 @@ def contents_pages(facts: DataFrame) -> DataFrame:
     """
     s, after = F.col("s"), F.col("after")
     by_length = sorted(P.ALL_TITLES, key=lambda t: (-len(t), t))
-    listed = F.when(F.col("eligible") & F.col("head").isNull() & F.coalesce(after.rlike(P.PAGE_FIGURE), F.lit(False)), _first_prefix(s, by_length))
+    listed = F.when(F.col("eligible") & F.col("head").isNull() & F.coalesce(after.rlike(P.PAGE_FIGURE), F.lit(False)), _first_prefix("s", by_length))
     short = (s != "") & (F.length(s) <= 25)
-    titles = F.array_compact(F.array(*[F.when(short & s.contains(t), F.lit(i)) for i, t in enumerate(P.ALL_TITLES)]))
+    # One bit a title, so a page's titles are one number.
+    titles = F.expr(" | ".join(f"IF(contains(s, '{t}'), {1 << i}L, 0L)" for i, t in enumerate(P.ALL_TITLES)))
     rows = facts.select(
         "doc_id",
         "page_no",
         F.when((F.length(s) <= 30) & ~s.rlike(r"\.{3}"), F.col("head")).alias("numeral"),
         listed.alias("listed"),
-        # One bit a title, so a page's titles are one number.
-        F.aggregate(titles, F.lit(0).cast("long"), lambda acc, i: acc.bitwiseOR(F.expr("1L") * F.pow(F.lit(2.0), i).cast("long"))).alias("titles"),
+        F.when(short, titles).otherwise(F.lit(0).cast("long")).alias("titles"),
         s.rlike(P.PAGE_FIGURE).alias("figure"),
     )
     page = rows.groupBy("doc_id", "page_no").agg(
@@ -145,8 +145,8 @@ def stop_tokens(facts: DataFrame, section: DataFrame) -> DataFrame:
     lines = facts.where("eligible").join(section.select("doc_id", "term", "num"), "doc_id")
     number = X.numeral(F.col("head"))
     numbered = F.col("head_line") & ~number.eqNullSafe(F.col("num"))
-    name = F.when((F.col("bare") != "") & (F.col("bare") != F.col("term")), F.concat(F.lit("A:"), _first_prefix(F.col("bare"), P.SECTION_NAMES)))
-    major = [F.when((F.col("term") != t) & s.startswith(t) & (F.length(s) <= len(t) + 3), F.lit(f"H:{t}")) for t in P.MAJOR_TITLES]
+    name = F.when((F.col("bare") != "") & (F.col("bare") != F.col("term")), F.concat(F.lit("A:"), _first_prefix("bare", P.SECTION_NAMES)))
+    major = [F.expr(f"CASE WHEN term <> '{t}' AND startswith(s, '{t}') AND length(s) <= {len(t) + 3} THEN 'H:{t}' END") for t in P.MAJOR_TITLES]
     tokens = F.when(numbered, F.array(F.concat(F.lit("SEC"), F.coalesce(number.cast("string"), F.lit("None"))))).otherwise(F.array_compact(F.array(name, *major)))
     return lines.select("doc_id", "page_no", F.explode(tokens).alias("token")).distinct()
 

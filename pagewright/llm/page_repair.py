@@ -521,7 +521,11 @@ def _spaced(before: Column, after: Column) -> Column:
 def repaired_words(words: DataFrame, geometry: DataFrame | None = None, **options: float) -> DataFrame:
     """The distinct words of the body with ``doc_id, page_no, word_no, text, x0, x1, top, bottom``: running titles and page numbers are gone,
     misread characters put right, and broken words end in a joining mark in place of the hyphen."""
-    body = clean_words(words).join(_noise(words, geometry, **options), ["doc_id", "page_no", "word_no"], "left").where(~F.col("kind").eqNullSafe("furniture"))
+    # What a page's words are goes with the page, so words are shuffled by page only, once for all that follows.
+    entry = F.struct("word_no", F.struct("kind", "repaired").alias("is"))
+    pages = cut(_noise(words, geometry, **options).groupBy("doc_id", "page_no").agg(F.map_from_entries(F.collect_list(entry)).alias("_is")))
+    body = clean_words(words).join(pages.hint("merge"), ["doc_id", "page_no"], "left").withColumn("_k", F.try_element_at("_is", F.col("word_no")))
+    body = body.select("doc_id", "page_no", "word_no", "text", "x0", "x1", "top", "bottom", "_k.kind", "_k.repaired").where(~F.col("kind").eqNullSafe("furniture"))
     glued = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - 1), F.lit(_GLUE))
     text = F.when(F.col("kind") == "hyphen", glued).otherwise(F.coalesce("repaired", "text"))
     return body.withColumn("text", text).drop("kind", "repaired")
@@ -533,9 +537,9 @@ def body_paragraphs(words: DataFrame, geometry: DataFrame, **options: float) ->
     Lines follow the baselines (which may waver), columns are read one after the other, and paragraphs that a column or page end cuts are
     joined. ``page_no`` is the page a paragraph begins on.
     """
-    w = cut(repaired_words(words, geometry, **options))  # read for the columns' cuts and for the lines
+    w = repaired_words(words, geometry, **options)  # read twice, for the columns' cuts and for the lines, from one shuffle
     cuts = column_cuts(w, geometry).select("doc_id", "page_no", "cut")
-    w = w.join(cuts, ["doc_id", "page_no"], "left").withColumn("col_no", F.when(F.col("x0") >= F.col("cut"), 1).otherwise(0))
+    w = w.join(cuts.hint("merge"), ["doc_id", "page_no"], "left").withColumn("col_no", F.when(F.col("x0") >= F.col("cut"), 1).otherwise(0))
     down = Window.partitionBy("doc_id", "page_no", "col_no").orderBy("top", "x0", "word_no")
     w = w.withColumn("line", F.sum(F.coalesce((F.col("top") - F.lag("top").over(down) > 4).cast("int"), F.lit(0))).over(down))
     along = Window.partitionBy("doc_id", "page_no", "col_no", "line").orderBy("x0", "word_no")

@@ -23,9 +23,11 @@ def key_bits(keys: DataFrame, hashed: Column, n_keys: int) -> DataFrame:
     """One row ``bits`` (an array of 64-bit words) with a bit for the hash of each key."""
     size = bits_for(n_keys)
     at = F.pmod(hashed, F.lit(size))
-    words = keys.select(F.expr("1").alias("_one"), at.alias("_at")).groupBy(F.expr("shiftright(_at, 6)").alias("id"))
-    words = words.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_at").bitwiseAND(63).cast("int"))).alias("b"))
-    every = keys.sparkSession.range(size // 64).join(words, "id", "left").select(F.struct("id", F.coalesce("b", F.lit(0).cast("long")).alias("b")).alias("w"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_at").bitwiseAND(63).cast("int"))
+    words = keys.select(at.alias("_at")).select(F.expr("shiftright(_at, 6)").alias("id"), bit.alias("b"))
+    # An empty word for each place makes the row full without a join.
+    none = keys.sparkSession.range(size // 64).select("id", F.lit(0).cast("long").alias("b"))
+    every = words.unionByName(none).groupBy("id").agg(F.bit_or("b").alias("b")).select(F.struct("id", "b").alias("w"))
     return every.agg(F.transform(F.sort_array(F.collect_list("w")), lambda w: w["b"]).alias("bits"))
 
 

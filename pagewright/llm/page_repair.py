@@ -151,12 +151,12 @@ def confusions(counts: DataFrame, least: int = 20, times: int = 20, support: flo
         table = ("".join(map(chr, script)), "".join(script.values()))
         seen = seen.where(F.translate(wrong, *table) != F.translate(right, *table))
     pairs = seen.groupBy("kind", wrong.alias("wrong"), right.alias("right"), (F.col("top.h") - F.col("h")).alias("delta")).agg(
-        F.sum(1.0 / (F.col("alternatives") - 1)).alias("weight"), F.count(F.lit(1)).alias("support"), F.count_distinct("i").alias("_places")
+        F.sum(1.0 / (F.col("alternatives") - 1)).alias("weight"), F.count(F.lit(1)).alias("support"), (F.min("i") != F.max("i")).alias("_places")
     )
     pairs = pairs.withColumn("_best", F.max("weight").over(Window.partitionBy("kind", "wrong")))
     figure = (F.col("kind") == _WORD) & (F.col("wrong").rlike("^[0-9]$") | F.col("right").rlike("^[0-9]$"))
     enough = F.col("weight") >= F.when(figure, F.lit(1.0)).when(F.col("kind") == _SHAPE, F.lit(support / 2)).otherwise(F.lit(support))
-    places = (F.col("kind") != _THREE) | (F.col("_places") >= 2)
+    places = (F.col("kind") != _THREE) | F.col("_places")
     ranked = enough & places & (figure | (F.col("weight") >= F.col("support") * specific)) & (F.col("weight") >= F.col("_best") * share)
     return pairs.where(ranked).drop("_best", "_places")
 
@@ -312,8 +312,7 @@ def page_sizes(words: DataFrame, geometry: DataFrame | None = None) -> DataFrame
         pages = pages.withColumn("height", F.lit(None).cast("double"))
     guess = F.when(F.col("_low") > 770, F.greatest(F.lit(842.0), F.col("_low"))).when(F.col("_low") > 600, 792.0).otherwise(595.0)
     pages = pages.withColumn("height", F.coalesce("height", guess)).drop("_low")
-    first = pages.groupBy("doc_id").agg(F.min("page_no").alias("_first"))
-    return pages.join(first, "doc_id").withColumn("first", F.col("page_no") == F.col("_first")).drop("_first")
+    return pages.withColumn("first", F.col("page_no") == F.min("page_no").over(Window.partitionBy("doc_id")))
 
 
 def edge_lines(words: DataFrame, geometry: DataFrame | None = None, letters: str = "", top_zone: float = 0.078, bottom_zone: float = 0.93) -> DataFrame:
@@ -325,7 +324,8 @@ def edge_lines(words: DataFrame, geometry: DataFrame | None = None, letters: str
     most, least = ends["most"] or 0.0, ends["least"] or 0.0
     # Words in no page's zone stay behind before anything is shuffled.
     near = w.where((F.col("top") < max(most * top_zone, 46.0)) | (F.col("top") > least * bottom_zone))
-    near = near.select("doc_id", "company", "page_no", "word_no", "text", "x0", "x1", "top").distinct().join(pages.hint("merge"), ["doc_id", "page_no"])
+    near = near.select("doc_id", "company", "page_no", "word_no", "text", "x0", "x1", "top")
+    near = near.repartition("doc_id", "page_no").distinct().join(pages.hint("merge"), ["doc_id", "page_no"])  # one shuffle for all that follows
     zone = F.when(F.col("top") < F.greatest(F.col("height") * top_zone, F.lit(46.0)), "top").when(F.col("top") > F.col("height") * bottom_zone, "bottom")
     near = near.withColumn("zone", zone).where("zone is not null").withColumnRenamed("first", "_first")
     order = Window.partitionBy("doc_id", "page_no", "zone").orderBy("top", "x0", "word_no")
@@ -390,35 +390,36 @@ def furniture_words(words: DataFrame, geometry: DataFrame | None = None, letters
     are those misread for ``digits`` in figures.
     """
     lines = cut(edge_lines(words, geometry, letters))
-    lettered = lines.where(F.length("key") >= 2)
+    lettered = F.length("key") >= 2
     pages = lines.select("doc_id", "page_no").distinct().agg(F.count(F.lit(1)).alias("n_pages"))
-    usage = lettered.groupBy("key").agg(F.count_distinct("doc_id", "page_no").alias("n"), F.sum(F.col("first").cast("int")).alias("n_first"))
+    usage = lines.where(lettered).groupBy("key").agg(F.count_distinct("doc_id", "page_no").alias("n"), F.sum(F.col("first").cast("int")).alias("n_first"))
     # At most 1 / share keys for each line of a page: a small table whatever the corpus.
     common = usage.crossJoin(F.broadcast(pages)).where((F.col("n") >= min_pages) & (F.col("n") >= F.col("n_pages") * share))  # one row
-    common = common.select("key", ((F.col("n_first") > F.col("n") * first_share) & ~F.col("key").contains("@")).alias("opens"))
-    own = (
-        lettered.where(~F.col("first")).groupBy("doc_id", "key").agg(F.count_distinct("page_no").alias("n")).where("n >= 2").select("doc_id", "key")
-    )
-    by_corpus = lettered.join(common, "key").where(~(F.col("first") & F.col("opens"))).select("doc_id", "page_no", "zone", "line")
-    by_report = lettered.where(~F.col("first")).join(own, ["doc_id", "key"], "left_semi").select("doc_id", "page_no", "zone", "line")
-    numbered = lines.where(F.col("number") & ((F.col("zone") == "bottom") | F.col("key").contains("@")))
+    common = cut(common.select("key", ((F.col("n_first") > F.col("n") * first_share) & ~F.col("key").contains("@")).alias("opens")))
+    lines = lines.join(F.broadcast(common), "key", "left")  # ``opens`` is null where a key isn't common
+
+    def on_two_pages(rows: Column, *same: str) -> Column:
+        """Whether those of the ``rows`` that are the same in a report stand on two pages of it."""
+        page, around = F.when(rows, F.col("page_no")), Window.partitionBy("doc_id", *same)
+        return rows & (F.min(page).over(around) != F.max(page).over(around))
+
+    # The lines of a report are brought together once.
+    told = lines.repartition("doc_id").withColumn("_by_report", on_two_pages(lettered & ~F.col("first"), "key"))
     # A bare figure beside other words is a page number if it runs with the pages of the report.
+    numbered = F.col("number") & ((F.col("zone") == "bottom") | F.col("key").contains("@"))
     step = F.col("page_no") - F.translate(F.regexp_extract("text", f"[0-9{letters}]+", 0), letters, digits).try_cast("int")
-    numbered = numbered.withColumn("_step", step)
-    runs = numbered.groupBy("doc_id", "_step").agg(F.count_distinct("page_no").alias("n")).where("n >= 2").select("doc_id", "_step")
+    told = told.withColumn("_step", F.when(numbered, step)).withColumn("_runs", on_two_pages(F.col("_step").isNotNull(), "_step"))
     formed = F.col("alone") | F.col("text").rlike("[第页頁]|(?i)page|^[-–— ]|^[ivxlcIVXLC]+$")
-    numbered = numbered.where(formed).unionByName(numbered.where(~formed).join(runs, ["doc_id", "_step"], "left_semi")).select("doc_id", "page_no", "zone", "line")
+    by_corpus = F.coalesce(~(F.col("first") & F.col("opens")), F.lit(False)) & F.col("opens").isNotNull()
+    told = told.where(by_corpus | F.col("_by_report") | (numbered & (formed | F.col("_runs")))).select("doc_id", "page_no", "members")
     # Misread characters: one in nine at most, so of one part more than that one is still the same as that of a common key with the company's
     # name written out. A title of less than four letters has no misread form: half of it would be another word.
     script = simplified_script(words.sparkSession)
     name = F.regexp_replace("company", r"^\d+\s*[_\-\s]\s*", "")
     name = F.translate(name, "".join(chr(c) for c in script), "".join(script.values())) if script else name
-    companies = lettered.select("company").distinct().withColumn("name", name)
-    frequent = common.where(~F.col("opens") & (F.length("key") >= 1))
-    full_form = F.expr("replace(key, '@', coalesce(name, ''))")
-    titles = (
-        lettered.join(frequent.select("key"), "key", "left_semi").select("company", "key").distinct().join(companies, "company").select("company", full_form.alias("full")).distinct()
-    )
+    named = lines.where(lettered & F.col("company").isNotNull()).withColumn("name", name).withColumn("full", F.expr("replace(key, '@', name)"))
+    title = F.coalesce(~F.col("opens"), F.lit(False))
+    titles = named.where(title).select("company", "full").distinct()
     size = F.length("full")
     most = F.greatest(F.lit(1), F.floor(size / 9)).cast("int")
 
@@ -430,13 +431,10 @@ def furniture_words(words: DataFrame, geometry: DataFrame | None = None, letters
         parts = F.explode(F.transform(F.sequence(F.lit(0), most), part)).alias("_h")
         return df.where(size >= 4).select("*", size.alias("_n"), most.alias("_most"), parts).select("*", "_h.side", "_h.part").drop("_h")
 
-    odd = lettered.where(~F.col("first")).join(frequent.select("key"), "key", "left_anti").join(companies, "company").withColumn("full", full_form)
-    odd = odd.select("doc_id", "page_no", "zone", "line", "company", "full")
+    odd = named.where(~title & ~F.col("first")).select("doc_id", "page_no", "members", "company", "full")
     near = in_parts(odd).alias("o").join(in_parts(titles).alias("t"), [F.col(f"o.{c}") == F.col(f"t.{c}") for c in ("company", "_n", "side", "part")])
-    near = near.where(F.levenshtein("o.full", "t.full") <= F.col("o._most")).select("o.doc_id", "o.page_no", "o.zone", "o.line")
-    hit = by_corpus.unionByName(by_report).unionByName(numbered).unionByName(near).distinct()
-    members = lines.join(hit, ["doc_id", "page_no", "zone", "line"], "left_semi").select("doc_id", "page_no", F.explode("members").alias("word_no"))
-    return members.distinct()
+    near = near.where(F.levenshtein("o.full", "t.full") <= F.col("o._most")).select("o.doc_id", "o.page_no", "o.members")
+    return told.unionByName(near).select("doc_id", "page_no", F.explode("members").alias("word_no")).distinct()
 
 
 def broken_words(words: DataFrame, counts: DataFrame, usual_least: int = 5) -> DataFrame:
@@ -449,26 +447,25 @@ def broken_words(words: DataFrame, counts: DataFrame, usual_least: int = 5) -> D
     w = words.where(F.length("text") > 0).select("doc_id", "page_no", "word_no", "text", "top")
     part = F.lower(F.regexp_extract("text", _BROKEN, 1))
     ends = w.where(F.right("text", F.lit(1)).isin(*BREAK_MARKS))
-    marked = ends.select("doc_id", "page_no", "word_no", "top", part.alias("part")).where("part <> ''").distinct()
+    marked = ends.select("doc_id", "page_no", "word_no", "top", part.alias("part")).where("part <> ''").repartition("part").distinct()
     kept = counts.where((F.col("kind") == _JOINED) & (F.col("n") >= 3)).select(F.lower(F.regexp_extract("gram", "^[^-]+", 0)).alias("part")).distinct()
     marked = cut(marked.join(kept.hint("merge"), "part", "left_anti"))
     usual = counts.where((F.col("kind") == _WORD) & (F.col("n") >= usual_least) & F.col("gram").rlike(f"^[{_LETTER}]{{2,}}$"))
     usual = usual.groupBy(F.lower("gram").alias("w")).agg(F.sum("n").alias("n"))
-    # What is left of usual words behind the parts that occur; only words that begin with such a rest are paired.
+    # The parts that occur with what is left of usual words behind them, told once for each pair; only words that begin with such a rest are paired.
     split = F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.struct(F.substring(F.col("w"), F.lit(1), i).alias("part"), F.substring(F.col("w"), i + 1, F.length("w")).alias("rest")))
-    splits = usual.select(F.explode(split).alias("_s")).select("_s.part", "_s.rest").join(marked.select("part").distinct().hint("merge"), "part", "left_semi")
-    rests = cut(splits.select("rest").distinct())
-    n = rests.count()
+    splits = usual.select("n", F.explode(split).alias("_s")).select("_s.part", "_s.rest", "n").join(marked.select("part").distinct().hint("merge"), "part", "left_semi")
+    of_part = usual.select(F.col("w").alias("part"), F.col("n").alias("n_part")).hint("merge")
+    of_rest = usual.select(F.col("w").alias("rest"), F.col("n").alias("n_rest")).hint("merge")
+    splits = splits.join(of_part, "part", "left").join(of_rest, "rest", "left")
+    splits = cut(splits.where(F.col("n_part").isNull() | (F.coalesce("n_rest", F.lit(0)) <= 2 * F.col("n"))).select("part", "rest"))
+    n = splits.count()
     rest = F.regexp_extract("text", f"^[{_LETTER}0-9]*[{_LETTER}][{_LETTER}0-9]*", 0)
     tails = w.select("doc_id", F.col("page_no").alias("_page"), F.col("top").alias("_top"), rest.alias("rest")).where((F.col("rest") != "") & (F.col("rest") == F.lower("rest")))
-    tails = may_match(tails, F.xxhash64("rest"), key_bits(rests, F.xxhash64("rest"), n), n).distinct()
+    tails = may_match(tails, F.xxhash64("rest"), key_bits(splits, F.xxhash64("rest"), n), n).repartition("doc_id", "_page").distinct()
     near = marked.select("doc_id", "page_no", "word_no", "top", "part", F.explode(F.array(F.col("page_no"), F.col("page_no") + 1)).alias("_page"))
     pairs = near.join(tails.hint("merge"), ["doc_id", "_page"]).where((F.col("_page") != F.col("page_no")) | (F.abs(F.col("_top") - F.col("top")) > 3))
-    whole = pairs.withColumn("w", F.concat("part", "rest")).join(usual.hint("merge"), "w")
-    of_part = usual.select(F.col("w").alias("part"), F.col("n").alias("n_part")).hint("merge")
-    of_rest = usual.select(F.col("w").alias("rest"), F.col("n").alias("n_rest")).hint("merge")
-    whole = whole.join(of_part, "part", "left").join(of_rest, "rest", "left")
-    return whole.where(F.col("n_part").isNull() | (F.coalesce("n_rest", F.lit(0)) <= 2 * F.col("n"))).select("doc_id", "page_no", "word_no").distinct()
+    return pairs.join(splits.hint("merge"), ["part", "rest"], "left_semi").select("doc_id", "page_no", "word_no").distinct()
 
 
 def misread_words(words: DataFrame, repairs: DataFrame, salts: int = 8) -> DataFrame:
@@ -503,8 +500,8 @@ def _noise(words: DataFrame, geometry: DataFrame | None, **options: float) -> Da
     body = misread_words(words, reading.repairs).withColumn("kind", F.lit("misread"))
     broken = broken_words(words, reading.counts).select("*", none.alias("repaired"), F.lit("hyphen").alias("kind"))
     edge = furniture_words(words, geometry, *reading.known.values).select("*", none.alias("repaired"), F.lit("furniture").alias("kind"))
-    # "furniture" < "hyphen" < "misread" in this order too.
-    noise = edge.unionByName(broken).unionByName(body).groupBy("doc_id", "page_no", "word_no").agg(F.min(F.struct("kind", "repaired")).alias("_k"))
+    # Each kind is written by itself: one plan of all three holds much of the driver's memory. "furniture" < "hyphen" < "misread" in this order too.
+    noise = cut(edge).unionByName(cut(broken)).unionByName(body).groupBy("doc_id", "page_no", "word_no").agg(F.min(F.struct("kind", "repaired")).alias("_k"))
     return noise.select("doc_id", "page_no", "word_no", "_k.kind", "_k.repaired")
 
 

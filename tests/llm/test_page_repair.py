@@ -58,6 +58,16 @@ def test_kinds(spark):
     assert {t for *_, t in got["misread"]} == KNOWN
 
 
+def test_plans_are_small(spark):
+    """What a run takes of the driver's memory goes with its shuffles, and most with those that are planned at once."""
+    words, sizes = make(spark)
+    shuffles = spark.sparkContext._jsc.sc().newShuffleId
+    before = shuffles()
+    noise = P.noisy_words(words, sizes)
+    assert noise._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 10
+    assert noise.count() > 0 and shuffles() - before <= 62
+
+
 def test_confusions_are_learned(spark):
     words, _ = make(spark)
     reading = P.Reading(words)
